@@ -70,11 +70,11 @@ def subscriber_label(code: Column) -> Column:
 
 
 def service_label(code: Column) -> Column:
-    return code_label(code.cast("int"), SERVICES, UNKNOWN)
+    return code_label(code.try_cast("int"), SERVICES, UNKNOWN)
 
 
 def universe_label(code: Column) -> Column:
-    return code_label(code.cast("int"), UNIVERSES, UNKNOWN)
+    return code_label(code.try_cast("int"), UNIVERSES, UNKNOWN)
 
 
 def account_charge(accounts: Sequence[Column], charges: Sequence[Column]) -> Column:

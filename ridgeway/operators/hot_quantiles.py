@@ -1,0 +1,133 @@
+"""Exact interpolated percentiles of groups too large for one task.
+
+An order statistic is found by narrowing a value interval instead of sorting
+the group:
+
+1. count, minimum and maximum per (group, metric);
+2. counts per equal-width cell of that interval; a running total over at most
+   ``CELLS + 2`` rows tells which cells hold the wanted ranks;
+3. the same again inside those cells, whose exact minimum and maximum re-tighten
+   the interval, so a heavy tail costs one round only;
+4. counts per distinct value in what is left, and a running total over them.
+
+Every count is combined map-side, rows of one group are spread over all tasks
+in every round, and what is broadcast is a few rows per hot group.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from ridgeway.operators.reshape import unpivot_metrics
+
+QUANTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
+CELLS = 4096
+# what travels with a value interval: group size and number of smaller values
+SPAN = ("n", "base", "low", "high")
+
+
+def _same(keys: Sequence[str], left: str, right: str) -> Column:
+    condition = F.col(f"{left}.metric") == F.col(f"{right}.metric")
+    for key in keys:
+        condition = condition & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
+    return condition
+
+
+def _ranks() -> Column:
+    """Zero-based ranks on both sides of each percentile position."""
+    positions = [(F.col("n") - 1) * F.lit(q) for q in QUANTILES]
+    return F.array_distinct(F.array(*[side(p) for p in positions for side in (F.floor, F.ceil)]))
+
+
+def _inside(values: DataFrame, spans: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Values that fall in one of the spans of their group, with that span."""
+    in_span = F.col("v.value").between(F.col("s.low"), F.col("s.high"))
+    joined = values.alias("v").join(
+        F.broadcast(spans).alias("s"), _same(keys, "v", "s") & in_span
+    )
+    return joined.select(*[f"s.{c}" for c in (*keys, "metric", *SPAN)], "v.value")
+
+
+def _holding(counted: DataFrame, group: Sequence[str], order: str) -> DataFrame:
+    """Rows whose running count covers a wanted rank, and those ranks."""
+    running = (
+        Window.partitionBy(*group)
+        .orderBy(order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    first = F.col("base") + F.sum("rows_here").over(running) - F.col("rows_here")
+    located = counted.withColumn("before", first)
+    covered = F.filter(
+        _ranks(),
+        lambda rank: (rank >= F.col("before")) & (rank < F.col("before") + F.col("rows_here")),
+    )
+    return located.withColumn("ranks", covered).where(F.size("ranks") > 0)
+
+
+def _narrow(values: DataFrame, spans: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One round: split every span into cells and keep the cells with a wanted
+    rank, each with its exact value range."""
+    group = [*keys, "metric", *SPAN]
+    cell = F.when(F.col("low") == F.col("high"), F.lit(0)).otherwise(
+        F.width_bucket(F.col("value"), F.col("low"), F.col("high"), F.lit(CELLS))
+    )
+    cells = (
+        _inside(values, spans, keys)
+        .groupBy(*group, cell.alias("cell"))
+        .agg(
+            F.count(F.lit(1)).alias("rows_here"),
+            F.min("value").alias("cell_low"),
+            F.max("value").alias("cell_high"),
+        )
+    )
+    return _holding(cells, group, "cell").select(
+        *keys,
+        "metric",
+        "n",
+        F.col("before").alias("base"),
+        F.col("cell_low").alias("low"),
+        F.col("cell_high").alias("high"),
+    )
+
+
+def hot_group_quantiles(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+    """``keys`` plus ``<metric>_points``: the five percentiles of each metric."""
+    keys = list(keys)
+    values = unpivot_metrics(df, keys, metrics)
+    spans = values.groupBy(*keys, "metric").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    spans = spans.withColumn("base", F.lit(0).cast("long"))
+    for _ in range(2):
+        spans = _narrow(values, spans, keys)
+
+    group = [*keys, "metric", *SPAN]
+    distinct = _inside(values, spans, keys).groupBy(*group, "value").agg(
+        F.count(F.lit(1)).alias("rows_here")
+    )
+    found = _holding(distinct, group, "value").select(
+        *keys, "metric", "n", F.explode("ranks").alias("rank"), "value"
+    )
+    # at most ten (rank, value) pairs per group and metric
+    table = found.groupBy(*keys, "metric", "n").agg(
+        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at")
+    )
+    points = table.withColumn("points", F.array(*[_interpolate(q) for q in QUANTILES]))
+    return points.groupBy(*keys).agg(
+        *[
+            F.max(F.when(F.col("metric") == m, F.col("points"))).alias(f"{m}_points")
+            for m in metrics
+        ]
+    )
+
+
+def _interpolate(q: float) -> Column:
+    position = (F.col("n") - 1) * F.lit(q)
+    lower, upper = F.floor(position), F.ceil(position)
+    low, high = F.element_at("at", lower), F.element_at("at", upper)
+    return F.when(lower == upper, low).otherwise(
+        (upper - position) * low + (position - lower) * high
+    )
