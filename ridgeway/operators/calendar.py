@@ -174,6 +174,12 @@ def assign_periods(df: DataFrame, ts: str, periods: DataFrame) -> DataFrame:
     return wanted.join(F.broadcast(days), F.to_date(ts) == F.col("__day")).drop("__day")
 
 
+def period_literals(periods: DataFrame) -> Column:
+    """The calendar as a literal array, to give every member of a cohort a row
+    per period. A calendar holds a few hundred rows, set by the run's parameters."""
+    return F.array(*[_range(F.lit(p[0]), F.lit(p[1])) for p in periods.select(*PERIOD).collect()])
+
+
 def slice_periods(
     df: DataFrame, ts: str, periods: DataFrame | tuple | None
 ) -> tuple[DataFrame, list[str]]:

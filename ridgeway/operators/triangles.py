@@ -14,7 +14,9 @@ spread over many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeway.operators.lineage import materialise
@@ -22,83 +24,89 @@ from ridgeway.operators.lineage import materialise
 BUSY_DEGREE = 1_000_000
 
 
-def undirected(edges: DataFrame) -> DataFrame:
+def undirected(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Distinct edges ``a < b``."""
-    return (
-        edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
-        .where(F.col("a") < F.col("b"))
-        .distinct()
-    )
+    ends = [F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")]
+    return edges.select(*by, *ends).where(F.col("a") < F.col("b")).distinct()
 
 
-def _attach(pairs: DataFrame, degree: DataFrame, end: str, busy: int) -> DataFrame:
+def _attach(
+    pairs: DataFrame, degree: DataFrame, end: str, by: Sequence[str], busy: int
+) -> DataFrame:
     """Add the degree of one end. Busy vertices are looked up by broadcast, the
     others by shuffle, where none of them can hold more than ``busy`` edges."""
-    known = degree.select(F.col("id").alias(end), F.col("degree").alias(f"{end}_degree"))
-    above = F.broadcast(known.where(F.col(f"{end}_degree") > busy))
-    usual = known.where(F.col(f"{end}_degree") <= busy)
-    rest = pairs.join(above, end, "left_anti").join(usual, end)
-    return pairs.join(above, end).unionByName(rest)
+    keys, name = [*by, end], f"{end}_degree"
+    known = degree.select(*by, F.col("id").alias(end), F.col("degree").alias(name))
+    above = F.broadcast(known.where(F.col(name) > busy))
+    usual = known.where(F.col(name) <= busy)
+    rest = pairs.join(above, keys, "left_anti").join(usual, keys)
+    return pairs.join(above, keys).unionByName(rest)
 
 
-def orient(pairs: DataFrame, busy: int = BUSY_DEGREE) -> DataFrame:
+def orient(pairs: DataFrame, by: Sequence[str] = (), busy: int = BUSY_DEGREE) -> DataFrame:
     """Edges ``low -> high`` by (degree, id), with both degrees."""
     degree = (
-        pairs.select(F.explode(F.array("a", "b")).alias("id"))
-        .groupBy("id")
+        pairs.select(*by, F.explode(F.array("a", "b")).alias("id"))
+        .groupBy(*by, "id")
         .agg(F.count(F.lit(1)).alias("degree"))
     )
-    both = _attach(_attach(pairs, degree, "a", busy), degree, "b", busy)
-    a, b = F.struct("a_degree", "a"), F.struct("b_degree", "b")
-    ends = F.when(
-        a < b, _oriented("a", "b")
-    ).otherwise(_oriented("b", "a"))
-    return both.select(F.inline(F.array(ends)))
-
-
-def _oriented(low: str, high: str):
-    return F.struct(
-        F.col(low).alias("low"),
-        F.col(high).alias("high"),
-        F.col(f"{low}_degree").alias("low_degree"),
-        F.col(f"{high}_degree").alias("high_degree"),
+    both = _attach(_attach(pairs, degree, "a", by, busy), degree, "b", by, busy)
+    forward = F.struct("a_degree", "a") < F.struct("b_degree", "b")
+
+    def end(first: str, second: str) -> Column:
+        return F.when(forward, F.col(first)).otherwise(F.col(second))
+
+    return both.select(
+        *by,
+        end("a", "b").alias("low"),
+        end("b", "a").alias("high"),
+        end("a_degree", "b_degree").alias("low_degree"),
+        end("b_degree", "a_degree").alias("high_degree"),
     )
 
 
-def triangle_counts(edges: DataFrame, busy: int = BUSY_DEGREE) -> DataFrame:
-    """``id, n_triangles`` of the vertices that lie on at least one triangle."""
-    pairs = materialise(undirected(edges))
-    oriented = materialise(orient(pairs, busy))
+def triangle_counts(
+    edges: DataFrame, by: Sequence[str] = (), busy: int = BUSY_DEGREE
+) -> DataFrame:
+    """``id, n_triangles`` of the vertices that lie on at least one triangle.
 
-    onward = oriented.groupBy("low", "low_degree").agg(F.collect_list("high").alias("onward"))
-    salts = F.ceil(F.col("low_degree") / busy).cast("int")
+    ``by`` keeps separate graphs apart, for instance one per period.
+    """
+    by = list(by)
+    oriented = materialise(orient(undirected(edges, by), by, busy))
+    onward = oriented.groupBy(*by, "low", "low_degree").agg(
+        F.collect_list("high").alias("onward")
+    )
+    copies = F.ceil(F.col("low_degree") / busy).cast("int")
     targets = onward.select(
+        *by,
         F.col("low").alias("high"),
-        F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"),
+        F.explode(F.sequence(F.lit(0), copies - 1)).alias("salt"),
         F.col("onward").alias("high_onward"),
     )
-    spread = F.ceil(F.col("high_degree") / busy).cast("int")
-    arriving = oriented.select(
-        "low", "high", F.pmod(F.xxhash64("low"), spread).cast("int").alias("salt")
-    )
+    salts = F.ceil(F.col("high_degree") / busy)
+    salt = F.pmod(F.xxhash64("low"), salts).cast("int").alias("salt")
     closed = (
-        arriving.join(targets, ["high", "salt"])
-        .join(onward.select("low", "onward"), "low")
-        .select("low", "high", F.array_intersect("onward", "high_onward").alias("third"))
+        oriented.select(*by, "low", "high", salt)
+        .join(targets, [*by, "high", "salt"])
+        .join(onward.drop("low_degree"), [*by, "low"])
+        .select(*by, "low", "high", F.array_intersect("onward", "high_onward").alias("third"))
         .where(F.size("third") > 0)
     )
 
-    def corner(name: str):
-        return F.struct(F.col(name).alias("id"), F.size("third").alias("n"))
+    def corner(vertex: Column, n: Column) -> Column:
+        return F.struct(vertex.alias("id"), n.alias("n"))
 
-    thirds = F.transform("third", lambda v: F.struct(v.alias("id"), F.lit(1).alias("n")))
-    corners = closed.select(F.inline(F.concat(F.array(corner("low"), corner("high")), thirds)))
-    return corners.groupBy("id").agg(F.sum("n").alias("n_triangles"))
+    found = F.size("third")
+    ends = F.array(corner(F.col("low"), found), corner(F.col("high"), found))
+    thirds = F.transform("third", lambda vertex: corner(vertex, F.lit(1)))
+    corners = closed.select(*by, F.inline(F.concat(ends, thirds)))
+    return corners.groupBy(*by, "id").agg(F.sum("n").alias("n_triangles"))
 
 
-def with_triangles(vertices: DataFrame, edges: DataFrame, busy: int = BUSY_DEGREE) -> DataFrame:
+def with_triangles(
+    vertices: DataFrame, edges: DataFrame, by: Sequence[str] = (), busy: int = BUSY_DEGREE
+) -> DataFrame:
     """Vertices (any frame with ``id``) with their triangle count, 0 if none."""
-    counted = triangle_counts(edges, busy)
-    return vertices.join(counted, "id", "left").withColumn(
-        "n_triangles", F.coalesce("n_triangles", F.lit(0))
-    )
+    counted = triangle_counts(edges, by, busy)
+    return vertices.join(counted, [*by, "id"], "left").na.fill(0, ["n_triangles"])

@@ -11,7 +11,7 @@ from ridgeway.functions import labels as L
 from ridgeway.functions import predicates as P
 from ridgeway.functions.msisdn import canonical, canonical_if_local
 from ridgeway.operators.aggregates import event_count
-from ridgeway.operators.calendar import slice_periods
+from ridgeway.operators.calendar import period_literals, slice_periods
 from ridgeway.operators.cohort import distinct_cohort, restrict_to_cohort
 from ridgeway.operators.graph import aggregate_edges, in_out_profile, peer_statistics
 from ridgeway.operators.profile import HOT_ROWS, profile
@@ -56,26 +56,22 @@ def wallet_edges(tx: DataFrame, tag: str | None = None, by: Sequence[str] = ())
 def wallet_graph_indicators(
     tx: DataFrame,
     cohort: DataFrame,
-    periods: tuple | None = None,
+    periods=None,
     tag: str | None = None,
     busy: int = BUSY_DEGREE,
 ) -> DataFrame:
     """In/out amounts, degrees and triangles of every two-way subscriber."""
     sliced, by = slice_periods(tx, "transaction_date_time", periods)
-    if by:
-        raise ValueError("triangles belong to one period: pass a pair of days")
-    edges = wallet_edges(sliced, tag)
-    sides = in_out_profile(edges, "total_transaction")
-    indicators = with_triangles(sides, edges, busy)
-    named = indicators.withColumn("msisdn", canonical(F.col("id"))).drop("id")
-    return restrict_to_cohort(named, cohort).select(
-        "msisdn", *[c for c in named.columns if c != "msisdn"]
-    )
+    edges = wallet_edges(sliced, tag, by)
+    sides = in_out_profile(edges, "total_transaction", by)
+    indicators = with_triangles(sides, edges, by, busy)
+    named = indicators.withColumn("id", canonical(F.col("id"))).withColumnRenamed("id", "msisdn")
+    return restrict_to_cohort(named, cohort)
 
 
 def telecom_records(cdr: DataFrame, extensions: DataFrame, events: DataFrame) -> DataFrame:
     """Call records with readable codes; both dimensions also act as filters."""
-    prefixes = extensions.select(F.col("dwh_extension_id").alias("called_prefix_id")).distinct()
+    prefixes = extensions.select(F.col("dwh_extension_id").alias("called_prefix_id"))
     kinds = events.select("re_id", F.col("re_category_lv").alias("categorie"))
     slots = range(1, 5)
     charge = L.account_charge(
@@ -176,7 +172,7 @@ def message_profile(
 
     Members without traffic keep a row with NULL statistics, per category.
     """
-    prefixes = extensions.select(F.col("dwh_extension_id").alias("called_prefix_id")).distinct()
+    prefixes = extensions.select(F.col("dwh_extension_id").alias("called_prefix_id"))
     kinds = events.select("re_id", F.col("re_category_lv").alias("categorie"))
     sliced, by = slice_periods(cdr, "start_time", periods)
     rows = (
@@ -208,10 +204,8 @@ def message_profile(
 
     received = one_side("dst", "src", "in", "nbr_src")
     sent = one_side("src", "dst", "out", "nbr_dst")
-    members = distinct_cohort(cohort).withColumnRenamed("phone", "msisdn")
-    frame = members.withColumn(
-        "category", F.explode(F.array(*[F.lit(c) for c in categories]))
-    )
+    frame = distinct_cohort(cohort).withColumnRenamed("phone", "msisdn")
     if len(by) > 1:
-        frame = frame.join(F.broadcast(periods))
+        frame = frame.select("*", F.inline(period_literals(periods)))
+    frame = frame.withColumn("category", F.explode(F.array(*[F.lit(c) for c in categories])))
     return frame.join(received, [*by, "msisdn"], "left").join(sent, [*by, "msisdn"], "left")
