@@ -38,7 +38,9 @@ def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, orders = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
+    """Lines with their order. Both tables are large at scale; the hint keeps the
+    small test runs on the plan that a large run gets."""
+    lines, orders = read(spark, sf_dir, "lineitem").hint("MERGE"), read(spark, sf_dir, "orders")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 

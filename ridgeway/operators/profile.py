@@ -10,9 +10,9 @@ Groups come in two kinds.
   a group over value ranges and needs only small counts per group.
 
 Whether there are hot groups is asked before the plan is built: one count per
-group that reads the key columns only and combines map-side. Without any, the
-plan is one exchange and one aggregate. Otherwise the hot keys are broadcast; at
-most ``rows / hot_rows`` groups can exceed the limit, which bounds their number.
+group hash that reads the key columns only and combines map-side. Without any,
+the plan is one exchange and one aggregate. Otherwise their hashes are broadcast;
+at most ``rows / hot_rows`` groups can exceed the limit, which bounds their number.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from ridgeway.operators.lineage import materialise
 
 HOT_ROWS = 500_000
 APPROX_ACCURACY = 10_000
+HASH = "__group_hash"
 POINTS = {0.0: "p0", 0.25: "p25", 0.5: "p50", 0.75: "p75", 1.0: "p100"}
 
 
@@ -94,18 +95,13 @@ def profile(
 
     points = [F.percentile(m, list(QUANTILES)).alias(f"{m}_points") for m in metrics]
     hot = None if hot_rows is None else oversized_groups(rows, keys, hot_rows)
-    cold = rows if hot is None else rows.alias("r").join(
-        F.broadcast(hot).alias("h"), null_safe(keys, "r", "h"), "left_anti"
-    )
+    cold = rows if hot is None else _split(rows, keys, hot, "left_anti")
     described = cold.repartition(*keys).groupBy(*keys).agg(*plain, *points)
     described = _expand(described, metrics).select(*wanted)
     if hot is None:
         return described
 
-    hot_part = rows.alias("r").join(
-        F.broadcast(hot).alias("h"), null_safe(keys, "r", "h"), "left_semi"
-    )
-    hot_part = materialise(hot_part)
+    hot_part = materialise(_split(rows, keys, hot, "left_semi"))
     summary = hot_part.groupBy(*keys).agg(*plain)
     located = hot_group_quantiles(hot_part, keys, metrics)
     joined = summary.alias("s").join(located.alias("q"), null_safe(keys, "s", "q"), "left")
@@ -113,13 +109,25 @@ def profile(
     return described.unionByName(joined.select(*wanted))
 
 
+def _group_hash(keys: Sequence[str]) -> Column:
+    """One long per group. Groups that share a hash are only ever treated alike,
+    so a collision can send an ordinary group down the hot path, nothing more."""
+    return F.xxhash64(*keys)
+
+
 def oversized_groups(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
-    """Keys of the groups with more than ``limit`` rows, ``None`` if there are none.
+    """Hashes of the groups with more than ``limit`` rows, ``None`` if there are none.
 
-    Runs one job: a count per group over the key columns, combined map-side.
+    Runs one job over the key columns: a count per hash, combined map-side, that
+    shuffles 16 bytes per group instead of its keys.
     """
-    hot = df.groupBy(*keys).count().where(F.col("count") > limit).select(*keys)
-    return None if hot.isEmpty() else hot
+    counted = df.groupBy(_group_hash(keys).alias(HASH)).count()
+    hot = counted.where(F.col("count") > limit).select(HASH)
+    return None if hot.isEmpty() else materialise(hot)
+
+
+def _split(df: DataFrame, keys: Sequence[str], hot: DataFrame, how: str) -> DataFrame:
+    return df.join(F.broadcast(hot), _group_hash(keys) == F.col(HASH), how)
 
 
 def _expand(df: DataFrame, metrics: Sequence[str]) -> DataFrame:

@@ -33,18 +33,18 @@ def fill_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def nearest_centroid(features: Sequence[str], centroids: Mapping[int, Sequence[float]]) -> Column:
     """Label of the closest centroid (Euclidean, lowest label on a tie).
 
-    The centroids are literals of the expression: scoring is a projection in
-    generated code, without a join or a Python worker.
+    The centroids are literals of the expression: scoring is a projection,
+    without a join or a Python worker.
     """
+    point = F.array(*features)
     distances = []
     for label, centre in sorted(centroids.items()):
         if len(centre) != len(features):
             raise ValueError(f"centroid {label} has {len(centre)} values, expected {len(features)}")
-        squares = F.lit(0.0)
-        for feature, value in zip(features, centre, strict=True):
-            gap = F.col(feature) - F.lit(float(value))
-            squares = squares + gap * gap
-        distances.append(F.struct(squares.alias("distance"), F.lit(label).alias("label")))
+        target = F.array(*[F.lit(float(value)) for value in centre])
+        squares = F.zip_with(point, target, lambda x, y: (x - y) * (x - y))
+        distance = F.aggregate(squares, F.lit(0.0), lambda total, square: total + square)
+        distances.append(F.struct(distance.alias("distance"), F.lit(label).alias("label")))
     return F.array_min(F.array(*distances))["label"]
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ridgeway.operators.lineage import materialise
 
 BUSY_DEGREE = 1_000_000
+SPREAD = 1024
 
 
 def undirected(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -31,16 +32,25 @@ def undirected(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def _attach(
-    pairs: DataFrame, degree: DataFrame, end: str, by: Sequence[str], busy: int
+    pairs: DataFrame, degree: DataFrame, end: str, other: str, by: Sequence[str], busy: int
 ) -> DataFrame:
-    """Add the degree of one end. Busy vertices are looked up by broadcast, the
-    others by shuffle, where none of them can hold more than ``busy`` edges."""
+    """Add the degree of one end.
+
+    Busy vertices are looked up by broadcast, the others by shuffle, where none
+    of them can hold more than ``busy`` edges. The edges of a busy vertex pass
+    through that shuffle too, spread by a salt that matches nothing.
+    """
     keys, name = [*by, end], f"{end}_degree"
-    known = degree.select(*by, F.col("id").alias(end), F.col("degree").alias(name))
-    above = F.broadcast(known.where(F.col(name) > busy))
-    usual = known.where(F.col(name) <= busy)
-    rest = pairs.join(above, keys, "left_anti").join(usual, keys)
-    return pairs.join(above, keys).unionByName(rest)
+    known = degree.select(*by, F.col("id").alias(end), "degree")
+    above = known.where(F.col("degree") > busy).withColumnRenamed("degree", "__busy")
+    usual = known.where(F.col("degree") <= busy).withColumn("__salt", F.lit(0))
+    spread = F.pmod(F.xxhash64(other), F.lit(SPREAD)).cast("int") + 1
+    salt = F.when(F.col("__busy").isNull(), 0).otherwise(spread)
+    tagged = pairs.join(F.broadcast(above), keys, "left").withColumn("__salt", salt)
+    found = tagged.join(usual, [*keys, "__salt"], "left")
+    return found.withColumn(name, F.coalesce("__busy", "degree")).drop(
+        "__busy", "degree", "__salt"
+    )
 
 
 def orient(pairs: DataFrame, by: Sequence[str] = (), busy: int = BUSY_DEGREE) -> DataFrame:
@@ -50,7 +60,8 @@ def orient(pairs: DataFrame, by: Sequence[str] = (), busy: int = BUSY_DEGREE) ->
         .groupBy(*by, "id")
         .agg(F.count(F.lit(1)).alias("degree"))
     )
-    both = _attach(_attach(pairs, degree, "a", by, busy), degree, "b", by, busy)
+    both = _attach(pairs, degree, "a", "b", by, busy)
+    both = _attach(both, degree, "b", "a", by, busy)
     forward = F.struct("a_degree", "a") < F.struct("b_degree", "b")
 
     def end(first: str, second: str) -> Column:

@@ -14,6 +14,7 @@ from ridgeway.operators.aggregates import event_count
 from ridgeway.operators.calendar import period_literals, slice_periods
 from ridgeway.operators.cohort import distinct_cohort, restrict_to_cohort
 from ridgeway.operators.graph import aggregate_edges, in_out_profile, peer_statistics
+from ridgeway.operators.lineage import materialise
 from ridgeway.operators.profile import HOT_ROWS, profile
 from ridgeway.operators.triangles import BUSY_DEGREE, with_triangles
 
@@ -62,7 +63,7 @@ def wallet_graph_indicators(
 ) -> DataFrame:
     """In/out amounts, degrees and triangles of every two-way subscriber."""
     sliced, by = slice_periods(tx, "transaction_date_time", periods)
-    edges = wallet_edges(sliced, tag, by)
+    edges = materialise(wallet_edges(sliced, tag, by))
     sides = in_out_profile(edges, "total_transaction", by)
     indicators = with_triangles(sides, edges, by, busy)
     named = indicators.withColumn("id", canonical(F.col("id"))).withColumnRenamed("id", "msisdn")
@@ -187,12 +188,14 @@ def message_profile(
         .join(kinds, "re_id")
     )
     by = [*by, "category"]
-    edges = aggregate_edges(
-        by_category(rows, categories),
-        canonical_if_local(F.col("calling_nbr")),
-        canonical_if_local(F.col("called_nbr")),
-        {"exchanges": F.count(F.lit(1))},
-        by,
+    edges = materialise(
+        aggregate_edges(
+            by_category(rows, categories),
+            canonical_if_local(F.col("calling_nbr")),
+            canonical_if_local(F.col("called_nbr")),
+            {"exchanges": F.count(F.lit(1))},
+            by,
+        )
     )
 
     def one_side(own: str, peer: str, side: str, count: str) -> DataFrame:
