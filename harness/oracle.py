@@ -437,9 +437,12 @@ def statements() -> dict[str, str]:
             {described('conso_mb', sums=True)} FROM categorised
             WHERE service = 'DATA' AND universe = 'MOBILE' AND msisdn {IN_COHORT}
             GROUP BY category, msisdn""",
-        "telecom_sva": f"""SELECT category, msisdn, count(*) AS nbr_exch_sva FROM categorised
-            WHERE service = 'SVA' AND universe = 'MOBILE' AND msisdn {IN_COHORT}
-            GROUP BY category, msisdn""",
+        **{
+            f"telecom_{name}": f"""SELECT category, msisdn, count(*) AS nbr_exch_{name}
+            FROM categorised WHERE service = '{name.upper()}' AND universe = 'MOBILE'
+              AND msisdn {IN_COHORT} GROUP BY category, msisdn"""
+            for name in ("sva", "ims", "unknown")
+        },
         "weeks_calendar": per_period(
             f"""SELECT o_totalprice, CAST({MONDAY} + 6 - isodow_shift - 7 * i - 6 AS DATE) AS s,
                    CAST({MONDAY} + 6 - isodow_shift - 7 * i AS DATE) AS e

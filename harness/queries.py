@@ -482,7 +482,7 @@ def registered() -> dict[str, Query]:
         days_calendar, backfill_weekly, usage_measures, segment_centroid, segment_kmeans,
     ]
     named = {query.__name__: query for query in plain}
-    for service in ("SMS", "VOIX", "DATA", "SVA"):
+    for service in ("SMS", "VOIX", "DATA", "SVA", "IMS", "UNKNOWN"):
         named[f"telecom_{service.lower()}"] = _telecom(service)
 
     def rounded(query: Query) -> Query:

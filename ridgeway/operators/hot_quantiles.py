@@ -7,11 +7,13 @@ the group:
 2. counts per equal-width cell of that interval; a running total over at most
    ``CELLS + 2`` rows tells which cells hold the wanted ranks;
 3. the same again inside those cells, whose exact minimum and maximum re-tighten
-   the interval, so a heavy tail costs one round only;
+   the interval, until every remaining interval holds few enough rows;
 4. counts per distinct value in what is left, and a running total over them.
 
-Every count is combined map-side, rows of one group are spread over all tasks
-in every round, and what is broadcast is a few rows per hot group.
+A round splits an interval into at least two parts, so the rounds end; two are
+usual and a heavy tail adds one or two. Every count is combined map-side, the
+rows of a group are spread over all tasks in every round, and what is broadcast
+is at most ten rows per hot group and metric.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ridgeway.operators.lineage import materialise
 from ridgeway.operators.reshape import unpivot_metrics
 
 QUANTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
@@ -90,19 +93,31 @@ def _narrow(values: DataFrame, spans: DataFrame, keys: Sequence[str]) -> DataFra
         F.col("before").alias("base"),
         F.col("cell_low").alias("low"),
         F.col("cell_high").alias("high"),
+        F.col("rows_here").alias("size"),
     )
 
 
-def hot_group_quantiles(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    """``keys`` plus ``<metric>_points``: the five percentiles of each metric."""
+def _settled(spans: DataFrame, limit: int) -> bool:
+    """No span that is still more than one value holds over ``limit`` rows."""
+    return spans.where((F.col("low") < F.col("high")) & (F.col("size") > limit)).isEmpty()
+
+
+def hot_group_quantiles(
+    df: DataFrame, keys: Sequence[str], metrics: Sequence[str], limit: int
+) -> DataFrame:
+    """``keys`` plus ``<metric>_points``: the five percentiles of each metric.
+
+    ``limit`` is the number of rows a single task may rank at the end.
+    """
     keys = list(keys)
     values = unpivot_metrics(df, keys, metrics)
     spans = values.groupBy(*keys, "metric").agg(
         F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
     )
     spans = spans.withColumn("base", F.lit(0).cast("long"))
-    for _ in range(2):
-        spans = _narrow(values, spans, keys)
+    spans = materialise(_narrow(values, spans, keys))
+    while not _settled(spans, limit):
+        spans = materialise(_narrow(values, spans, keys))
 
     group = [*keys, "metric", *SPAN]
     distinct = _inside(values, spans, keys).groupBy(*group, "value").agg(

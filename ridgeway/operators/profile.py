@@ -103,7 +103,7 @@ def profile(
 
     hot_part = materialise(_split(rows, keys, hot, "left_semi"))
     summary = hot_part.groupBy(*keys).agg(*plain)
-    located = hot_group_quantiles(hot_part, keys, metrics)
+    located = hot_group_quantiles(hot_part, keys, metrics, hot_rows)
     joined = summary.alias("s").join(located.alias("q"), null_safe(keys, "s", "q"), "left")
     joined = _expand(joined.select("s.*", *[f"q.{m}_points" for m in metrics]), metrics)
     return described.unionByName(joined.select(*wanted))

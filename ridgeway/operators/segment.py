@@ -30,6 +30,22 @@ def fill_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
     )
 
 
+def standardise(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Centre and scale the features (population deviation; a constant feature
+    becomes zero). Optional: the delivered segments use raw features."""
+    moments = df.agg(
+        *[F.avg(f).alias(f"__avg_{f}") for f in features],
+        *[F.stddev_pop(f).alias(f"__std_{f}") for f in features],
+    )
+    # one row, whatever the input
+    row = moments.first().asDict()
+    scaled = {}
+    for f in features:
+        mean, deviation = row[f"__avg_{f}"], row[f"__std_{f}"]
+        scaled[f] = (F.col(f) - F.lit(mean)) / F.lit(deviation) if deviation else F.lit(0.0)
+    return df.withColumns(scaled)
+
+
 def nearest_centroid(features: Sequence[str], centroids: Mapping[int, Sequence[float]]) -> Column:
     """Label of the closest centroid (Euclidean, lowest label on a tie).
 

@@ -186,3 +186,25 @@ def test_fit_centroids_finds_separate_clumps(spark):
     frame = spark.createDataFrame(data, "x double, y double")
     centres = M.fit_centroids(frame, ["x", "y"], k=3, seed=2)
     assert sorted(round(c[0] / 100) for c in centres.values()) == [0, 1, 2]
+
+
+def test_trained_model_scores_like_its_centroids(spark):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+
+    data = [(float(50 * (i % 3) + i % 7), float(i % 5)) for i in range(60)]
+    frame = spark.createDataFrame(data, "x double, y double")
+    assembled = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(frame)
+    model = KMeans(k=3, seed=4).fit(assembled)
+    centres = {i: list(c) for i, c in enumerate(model.clusterCenters())}
+    scored = M.predict_with_model(frame, ["x", "y"], model)
+    labelled = M.assign_labels(scored.withColumnRenamed("label", "model"), ["x", "y"], centres)
+    assert labelled.where("model <> label").count() == 0
+
+
+def test_standardise(spark):
+    frame = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "x double, y double")
+    assert [tuple(r) for r in M.standardise(frame, ["x", "y"]).orderBy("x").collect()] == [
+        (-1.0, 0.0),
+        (1.0, 0.0),
+    ]

@@ -123,3 +123,20 @@ def test_approximate_form_stays_close(spark):
     row = profile(frame, ["k"], ["x"], approx=True).first()
     assert row["x_p0"] == 0 and row["x_p100"] == 10000
     assert abs(row["x_p50"] - 5000) <= 2
+
+
+def test_values_over_hundreds_of_magnitudes_take_more_rounds(spark):
+    values = [10.0 ** (i / 4) for i in range(-400, 400)]
+    data = [("k", v) for v in values]
+    frame = spark.createDataFrame(data, "k string, x double")
+    row = profile(frame, ["k"], ["x"], hot_rows=150).first()
+    for name, q in POINTS.items():
+        assert row[f"x_{name}"] == pytest.approx(percentile(values, q), rel=1e-9)
+
+
+def test_shuffle_sizing():
+    from ridgeway.session import shuffle_partitions
+
+    assert shuffle_partitions(0) == 200
+    assert shuffle_partitions(10**12) == 7451
+    assert shuffle_partitions(10**14) == 100_000
