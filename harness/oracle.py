@@ -302,8 +302,8 @@ def statements() -> dict[str, str]:
             JOIN (SELECT *, {by_length('raw')} AS number FROM terminal_datamart) t
               ON v.number = t.number AND v.month_id = t.month_id
             WHERE '22507' || right(v.number, 8) {IN_COHORT}""",
-        "multi_flag": f"""SELECT msisdn, max(a) AS statut_msim_orange, max(b) AS statut_msim_moov,
-            max(m) AS statut_msim_mtn FROM (
+        "multi_flag": f"""SELECT msisdn, max(a) AS statut_msim_home, max(b) AS statut_msim_alpha,
+            max(m) AS statut_msim_beta FROM (
               SELECT {by_class(f'({WRITTEN})', True)} AS msisdn,
                      CAST(c_nationkey % 2 = 0 AS INTEGER) AS a,
                      CAST(c_nationkey % 3 = 0 AS INTEGER) AS b,

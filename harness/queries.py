@@ -125,8 +125,9 @@ def value_segments(spark, sf):
 
 def multi_flag(spark, sf):
     return subscribers.network_flags(
-        S.sim_registry_a(spark, sf), S.sim_registry_b(spark, sf), S.line_cohort(spark, sf)
-    )
+        S.sim_registry_a(spark, sf), S.sim_registry_b(spark, sf), S.line_cohort(spark, sf),
+        home="home", others={"alpha": "ALPHA", "beta": "BETA"},
+    )
 
 
 def fleet_flag(spark, sf):

@@ -12,7 +12,7 @@ def number(key: str, prefix: str = "22507", size: int = 8) -> str:
 def profile_name(key: str) -> str:
     names = [
         "xCommunityx", "SPXD_BR_NOVA", "SP_D_OI_1", "mytest", "dauphin", "KIT_JEUNE",
-        "bara", "neo plus second", "orange china", "other", "abc2007", "sp br_nova x",
+        "bara", "neo plus second", "orangina", "other", "abc2007", "sp br_nova x",
     ]
     cases = " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(names))
     return f"CASE {key} % {len(names)} {cases} END"

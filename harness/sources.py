@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 PROFILES = (
     "xCommunityx", "SPXD_BR_NOVA", "SP_D_OI_1", "mytest", "dauphin", "KIT_JEUNE",
-    "bara", "neo plus second", "orange china", "other", "abc2007", "sp br_nova x",
+    "bara", "neo plus second", "orangina", "other", "abc2007", "sp br_nova x",
 )
 MONTHS = ("202401", "202402")
 
@@ -306,9 +306,9 @@ def sim_registry_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = F.col("c_nationkey")
     return read(spark, sf_dir, "customer").select(
         written_number().alias("msisdn"),
-        F.when(nation % 2 == 0, 1).alias("statut_orange"),
-        (nation % 3 == 0).cast("int").alias("statut_moov"),
-        (nation % 5 == 0).cast("int").alias("statut_mtn"),
+        F.when(nation % 2 == 0, 1).alias("statut_home"),
+        (nation % 3 == 0).cast("int").alias("statut_alpha"),
+        (nation % 5 == 0).cast("int").alias("statut_beta"),
     )
 
 
@@ -318,8 +318,8 @@ def sim_registry_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
         F.concat(F.lit("225"), local_number()).alias("msisdn"),
         F.when(F.col("o_totalprice") > 400000, 1).alias("top_ds_on"),
-        F.when((status == "P") & (F.col("o_totalprice") > 300000), "MOOV")
-        .when((status == "O") & (F.col("o_totalprice") > 200000), "MTN")
+        F.when((status == "P") & (F.col("o_totalprice") > 300000), "ALPHA")
+        .when((status == "O") & (F.col("o_totalprice") > 200000), "BETA")
         .alias("op_offnet"),
     )
 

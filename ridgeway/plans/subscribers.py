@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,13 +14,10 @@ from ridgeway.operators.aggregates import flag_max, indicator
 from ridgeway.operators.cohort import restrict_to_cohort
 from ridgeway.operators.reshape import union_all
 
-# Client types and profile patterns of the fleet flag; the
-# networks of the SIM registries with their code in the second registry (the
-# home network has a flag column of its own there); delivered place names.
+# Client types and profile patterns of the fleet flag, and the
+# delivered place names.
 FLEET_TYPES = ("HYBRIDE", "POSTPAID", "HYBRID")
 FLEET_EXCLUDED = ("%SP%BR_NOVA%", "%SP%COMMUNITY%")
-HOME_NETWORK = "orange"
-OTHER_NETWORKS = {"moov": "MOOV", "mtn": "MTN"}
 PLACE_COLUMNS = {
     "zone_commerciale": "zone_commerciale",
     "nom_region": "region",
@@ -75,23 +74,33 @@ def value_segments(
     return valued.join(handsets, ["number", "month_id"]).drop("number")
 
 
-def network_flags(registry_a: DataFrame, registry_b: DataFrame, cohort: DataFrame) -> DataFrame:
+def network_flags(
+    registry_a: DataFrame,
+    registry_b: DataFrame,
+    cohort: DataFrame,
+    home: str,
+    others: Mapping[str, str],
+) -> DataFrame:
     """Per subscriber, on which networks a SIM is known to be held.
 
+    ``home`` names the own network and ``others`` maps each other network to its
+    code in the second registry; the names end the flag columns (``statut_<name>``
+    read from the first registry, ``statut_msim_<name>`` delivered).
+
     The registries have different grain; both become one row per entry with a
     flag per network, and one maximum settles inner and outer grouping at once.
     """
     number = by_operator_class(F.col("msisdn"), strict=True).alias("msisdn")
-    networks = [HOME_NETWORK, *OTHER_NETWORKS]
+    networks = [home, *others]
     first = registry_a.select(
         number, *[F.col(f"statut_{n}").cast("int").alias(f"statut_msim_{n}") for n in networks]
     )
     second = registry_b.select(
         number,
-        indicator(F.col("top_ds_on") == 1).alias(f"statut_msim_{HOME_NETWORK}"),
+        indicator(F.col("top_ds_on") == 1).alias(f"statut_msim_{home}"),
         *[
             indicator(F.col("op_offnet") == code).alias(f"statut_msim_{n}")
-            for n, code in OTHER_NETWORKS.items()
+            for n, code in others.items()
         ],
     )
     rows = restrict_to_cohort(union_all(first, second), cohort)

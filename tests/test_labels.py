@@ -89,7 +89,7 @@ def test_ratio_band_with_zero_denominator(spark):
         ("tigre", None, "ANIMALS-TIGRE"),
         ("togo-togo", None, "NOVAMIX-TOGO-TOGO"),
         ("neo x second", None, "AGM-NEO_SECONDE"),
-        ("orange china", None, "AGM-FUN_INTENS"),
+        ("orangina", None, "AGM-FUN_INTENS"),
         (None, None, "PREPAID-AUTRES"),
     ],
 )

@@ -229,13 +229,13 @@ def test_network_flags_merge_both_registries(spark, rows):
     cohort = spark.createDataFrame([("2250505412345",), ("2250709912345",)], "phone string")
     a = spark.createDataFrame(
         [("05412345", None, 1, 0), ("22509912345", 0, 0, None), ("bad", 1, 1, 1)],
-        "msisdn string, statut_orange int, statut_moov int, statut_mtn int",
+        "msisdn string, statut_home int, statut_alpha int, statut_beta int",
     )
     b = spark.createDataFrame(
-        [("22505412345", 1, "MTN"), ("22505412345", 0, "MOOV"), ("0712", 1, "MTN")],
+        [("22505412345", 1, "BETA"), ("22505412345", 0, "ALPHA"), ("0712", 1, "BETA")],
         "msisdn string, top_ds_on int, op_offnet string",
     )
-    assert rows(subscribers.network_flags(a, b, cohort)) == [
+    assert rows(subscribers.network_flags(a, b, cohort, "home", {"alpha": "ALPHA", "beta": "BETA"})) == [
         ("2250505412345", 1, 1, 1),
         ("2250709912345", 0, 0, 0),
     ]
