@@ -35,17 +35,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 def stable(df: DataFrame) -> DataFrame:
     """Round fractions for comparison across engines: two digits, exact ties
     nudged upwards so that summation order cannot decide them."""
-    kinds = {f.name: f.dataType.typeName() for f in df.schema}
-    return df.select(
-        *[
-            F.round(F.col(name).cast("double") + 1e-6, 2).alias(name)
-            if kind in ("double", "float", "decimal")
-            else F.date_format(name, C.DAY_ID).alias(name)
-            if kind == "date"
-            else F.col(name)
-            for name, kind in kinds.items()
-        ]
-    )
+    shown = []
+    for field in df.schema:
+        name, kind = f"`{field.name}`", field.dataType.typeName()
+        if kind in ("double", "float", "decimal"):
+            shown.append(f"round(CAST({name} AS DOUBLE) + 1e-6D, 2) AS {name}")
+        elif kind == "date":
+            shown.append(f"date_format({name}, '{C.DAY_ID}') AS {name}")
+        else:
+            shown.append(name)
+    return df.selectExpr(*shown)
 
 
 # -- profile jobs -----------------------------------------------------------

@@ -143,6 +143,4 @@ def _interpolate(q: float) -> Column:
     position = (F.col("n") - 1) * F.lit(q)
     lower, upper = F.floor(position), F.ceil(position)
     low, high = F.element_at("at", lower), F.element_at("at", upper)
-    return F.when(lower == upper, low).otherwise(
-        (upper - position) * low + (position - lower) * high
-    )
+    return low + (position - lower) * (high - low)

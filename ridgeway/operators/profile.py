@@ -3,8 +3,8 @@
 Groups come in two kinds.
 
 * *Ordinary* groups hold at most ``hot_rows`` rows. Their rows are hash
-  partitioned on the group keys once and aggregated in that same stage, so each
-  metric's value map stays small and is never serialised between stages.
+  partitioned on the group keys once and aggregated in that same stage; the
+  values of a group, bounded by that limit, are sorted and read off by position.
 * *Hot* groups hold more. One task must not collect such a group, so their
   percentiles come from :mod:`ridgeway.operators.hot_quantiles`, which spreads
   a group over value ranges and needs only small counts per group.
@@ -93,11 +93,12 @@ def profile(
         ]
         return _expand(rows.groupBy(*keys).agg(*plain, *points), metrics).select(*wanted)
 
-    points = [F.percentile(m, list(QUANTILES)).alias(f"{m}_points") for m in metrics]
+    lists = [F.sort_array(F.collect_list(F.col(m).cast("double"))).alias(m) for m in metrics]
     hot = None if hot_rows is None else oversized_groups(rows, keys, hot_rows)
     cold = rows if hot is None else _split(rows, keys, hot, "left_anti")
-    described = cold.repartition(*keys).groupBy(*keys).agg(*plain, *points)
-    described = _expand(described, metrics).select(*wanted)
+    described = cold.repartition(*keys).groupBy(*keys).agg(*plain, *lists)
+    points = described.withColumns({f"{m}_points": _of_sorted(m) for m in metrics})
+    described = _expand(points, metrics).select(*wanted)
     if hot is None:
         return described
 
@@ -130,6 +131,18 @@ def _split(df: DataFrame, keys: Sequence[str], hot: DataFrame, how: str) -> Data
     return df.join(F.broadcast(hot), _group_hash(keys) == F.col(HASH), how)
 
 
+def _of_sorted(values: str) -> Column:
+    """Interpolated percentiles of a sorted array, NULLs if it is empty."""
+
+    def at(q: Column) -> Column:
+        position = (F.size(values) - 1) * q
+        lower, upper = F.floor(position).cast("int"), F.ceil(position).cast("int")
+        low, high = F.get(values, lower), F.get(values, upper)
+        return low + (position - lower) * (high - low)
+
+    return F.transform(F.array(*[F.lit(q) for q in QUANTILES]), at)
+
+
 def _expand(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """Spread each array of percentiles over its named columns."""
     return df.withColumns(
