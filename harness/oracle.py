@@ -34,12 +34,12 @@ def described(metric: str, expression: str | None = None, sums: bool = False) ->
 
 def by_class(number: str, strict: bool = False) -> str:
     rest, kept = ("[0-9]{6}", "[0-9]{10}") if strict else ("[0-9]*", "[0-9]*")
-    cases = " ".join(
+    branches = " ".join(
         f"WHEN regexp_matches({number}, '^(225)?[04-9]{second}{rest}$')"
         f" THEN '{prefix}' || right({number}, 8)"
         for prefix, second in (("22501", "[0-3]"), ("22505", "[4-6]"), ("22507", "[7-9]"))
     )
-    return f"CASE {cases} WHEN regexp_matches({number}, '^225{kept}$') THEN {number} END"
+    return f"CASE {branches} WHEN regexp_matches({number}, '^225{kept}$') THEN {number} END"
 
 
 def by_length(number: str) -> str:
@@ -49,32 +49,64 @@ def by_length(number: str) -> str:
     )
 
 
+# Fixed values of the expected labels, written out again so that a slip in the
+# library does not repeat itself here.
+SPEND_LABELS = (
+    ("= 0", "ZERO_VALUE"),
+    ("<= 1000", "VERY_LOW_VALUE - ]0-1000]"),
+    ("<= 2500", "LOW_VALUE - ]1000-2500]"),
+    ("<= 5000", "MIDDLE_VALUE - ]2500-5000]"),
+    ("<= 10000", "MIDDLE_HIGH_VALUE - ]5000-10000]"),
+    ("<= 50000", "HIGH_VALUE - ]10000-50000]"),
+    ("> 50000", "VERY_HIGH_VALUE - ]50000++["),
+)
+SHARE_LABELS = (
+    ("<= 0.1", "]0 - 10%]"),
+    ("<= 0.3", "]10% - 30%]"),
+    ("<= 0.5", "]30% - 50%]"),
+    ("> 0.5", "]50% & ++["),
+)
+PLAN_PATTERNS = (
+    ("profile", "%COMMUNITY%", "HYBRIDE-COMMUNITY"),
+    ("profile", "SP_D_BR_NOVA", "HYBRIDE-COMMUNITY"),
+    ("profile", "SP_D_OI%", "HYBRIDE-PERSONNEL"),
+    ("profile", "%PERSONNEL%", "HYBRIDE-PERSONNEL"),
+    ("profile", "%TEST%", "HYBRIDE-PERSONNEL"),
+    ("profile", "%2007", "HYBRIDE-PERSONNEL"),
+    ("profile", "%INTERNE%", "HYBRIDE-PERSONNEL"),
+    ("type", "%HYBRID%", "HYBRIDE-AUTRE"),
+    ("type", "%POSTP%", "POSTPAID"),
+)
+PLAN_NAMES = {
+    "ANIMALS": "DAUPHIN COLIBRI TIGRE AIGLE",
+    "NOVAMIX": "KIT_ELITE KIT_CLASSIC TOGO-TOGO KIT_JEUNE",
+    "AGM": "MAXY PROXY LIBERTY BARA MAGALI",
+}
+LATE_PATTERNS = (("%NEO%SECOND%", "AGM-NEO_SECONDE"), ("%ORANG%INA%", "AGM-FUN_INTENS"))
+
+
+def cases(pairs, default: str = "NULL") -> str:
+    """CASE over (condition, result) pairs, first match wins."""
+    return f"CASE {' '.join(f'WHEN {c} THEN {v}' for c, v in pairs)} ELSE {default} END"
+
+
 def value_band(x: str) -> str:
-    return f"""CASE WHEN {x} = 0 THEN 'ZERO_VALUE'
-        WHEN {x} <= 1000 THEN 'VERY_LOW_VALUE - ]0-1000]'
-        WHEN {x} <= 2500 THEN 'LOW_VALUE - ]1000-2500]'
-        WHEN {x} <= 5000 THEN 'MIDDLE_VALUE - ]2500-5000]'
-        WHEN {x} <= 10000 THEN 'MIDDLE_HIGH_VALUE - ]5000-10000]'
-        WHEN {x} <= 50000 THEN 'HIGH_VALUE - ]10000-50000]'
-        WHEN {x} > 50000 THEN 'VERY_HIGH_VALUE - ]50000++[' END"""
+    return cases((f"{x} {test}", f"'{label}'") for test, label in SPEND_LABELS)
 
 
 def ratio_band(a: str, b: str) -> str:
-    return f"""CASE WHEN {b} = 0 THEN 'ZERO' WHEN {a} / {b} <= 0.1 THEN ']0 - 10%]'
-        WHEN {a} / {b} <= 0.3 THEN ']10% - 30%]' WHEN {a} / {b} <= 0.5 THEN ']30% - 50%]'
-        WHEN {a} / {b} > 0.5 THEN ']50% & ++[' END"""
-
-
-def tariff(p: str, t: str) -> str:
-    return f"""CASE WHEN {p} LIKE '%COMMUNITY%' OR {p} LIKE 'SP_D_BR_NOVA' THEN 'HYBRIDE-COMMUNITY'
-        WHEN {p} LIKE 'SP_D_OI%' OR {p} LIKE '%PERSONNEL%' OR {p} LIKE '%TEST%'
-          OR {p} LIKE '%2007' OR {p} LIKE '%INTERNE%' THEN 'HYBRIDE-PERSONNEL'
-        WHEN {t} LIKE '%HYBRID%' THEN 'HYBRIDE-AUTRE' WHEN {t} LIKE '%POSTP%' THEN 'POSTPAID'
-        WHEN {p} IN ('DAUPHIN', 'COLIBRI', 'TIGRE', 'AIGLE') THEN 'ANIMALS-' || {p}
-        WHEN {p} IN ('KIT_ELITE', 'KIT_CLASSIC', 'TOGO-TOGO', 'KIT_JEUNE') THEN 'NOVAMIX-' || {p}
-        WHEN {p} IN ('MAXY', 'PROXY', 'LIBERTY', 'BARA', 'MAGALI') THEN 'AGM-' || {p}
-        WHEN {p} LIKE '%NEO%SECOND%' THEN 'AGM-NEO_SECONDE'
-        WHEN {p} LIKE '%ORANG%INA%' THEN 'AGM-FUN_INTENS' ELSE 'PREPAID-AUTRES' END"""
+    banded = [(f"{a} / {b} {test}", f"'{label}'") for test, label in SHARE_LABELS]
+    return cases([(f"{b} = 0", "'ZERO'"), *banded])
+
+
+def tariff(profile: str, kind: str) -> str:
+    field = {"profile": profile, "type": kind}
+    pairs = [(f"{field[f]} LIKE '{p}'", f"'{label}'") for f, p, label in PLAN_PATTERNS]
+    for family, names in PLAN_NAMES.items():
+        listed = ", ".join(f"'{n}'" for n in names.split())
+        pairs.append((f"{profile} IN ({listed})", f"'{family}-' || {profile}"))
+    pairs += [(f"{profile} LIKE '{p}'", f"'{label}'") for p, label in LATE_PATTERNS]
+    return cases(pairs, "'PREPAID-AUTRES'")
 
 
 def day(expression: str) -> str:
