@@ -37,5 +37,29 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+IMPACT_TOPK = """
+WITH scaled AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM scaled q, scaled c
+    WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+    SELECT query_id, vec_id, score,
+           row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+    FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op4_warc_chunks": WARC, "op6_content_sort": CONTENT_SORT}
+    return {
+        "op4_warc_chunks": WARC,
+        "op6_content_sort": CONTENT_SORT,
+        "op10_impact_topk": IMPACT_TOPK,
+    }
