@@ -278,7 +278,9 @@ def statements() -> dict[str, str]:
             {described('service_charge')} FROM parties WHERE msisdn {IN_COHORT}
             GROUP BY ALL""",
         "wallet_arpu": wallet_arpu(),
-        "profile_hot_groups": wallet_arpu(),
+        "profile_large_groups": f"""SELECT l_returnflag, count(l_orderkey) AS n_lines,
+            {described('l_extendedprice', sums=True)}, {described('l_tax', sums=True)}
+            FROM lineitem GROUP BY l_returnflag""",
         "transfer_profile": transfers("0", "count(transfer_in) AS n_transfer_in"),
         "transfer_profile_per_direction": transfers(
             "NULL",

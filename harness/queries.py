@@ -56,11 +56,13 @@ def wallet_arpu(spark, sf):
     return wallet.wallet_arpu(S.wallet_tx(spark, sf), S.cohort(spark, sf), ALL_DAYS)
 
 
-def profile_hot_groups(spark, sf):
-    """As ``wallet_arpu``, with a limit that sends the busier groups down the
-    path for groups too large for one task."""
-    tx, cohort = S.wallet_tx(spark, sf), S.cohort(spark, sf)
-    return wallet.wallet_arpu(tx, cohort, ALL_DAYS, hot_rows=45)
+def profile_large_groups(spark, sf):
+    """Three groups that hold all rows, each met in many pieces."""
+    rows = S.read(spark, sf, "lineitem").repartition(8, "l_orderkey")
+    return profile(
+        rows, ["l_returnflag"], ["l_extendedprice", "l_tax"], {"n_lines": "l_orderkey"},
+        sums=True, piece_partitions=1,
+    )
 
 
 def transfer_profile(spark, sf):
@@ -469,7 +471,7 @@ def segment_kmeans(spark, sf):
 
 def registered() -> dict[str, Query]:
     plain = [
-        wallet_profile, wallet_arpu, profile_hot_groups, transfer_profile,
+        wallet_profile, wallet_arpu, profile_large_groups, transfer_profile,
         transfer_profile_per_direction, recharge_weekly_profile, recharge_tag_profile,
         recharge_strict_tag_profile, subscription_mix, activity_extract, data_usage_profile, bill_payments,
         value_segments, multi_flag, fleet_flag, geo_location, line_base_one_contact,

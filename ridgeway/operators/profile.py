@@ -1,34 +1,34 @@
 """Percentile profile: count, mean, deviation and exact percentiles per group.
 
-Groups come in two kinds.
-
-* *Ordinary* groups hold at most ``hot_rows`` rows. Their rows are hash
-  partitioned on the group keys once and aggregated in that same stage; the
-  values of a group, bounded by that limit, are sorted and read off by position.
-* *Hot* groups hold more. One task must not collect such a group, so their
-  percentiles come from :mod:`ridgeway.operators.hot_quantiles`, which spreads
-  a group over value ranges and needs only small counts per group.
-
-Whether there are hot groups is asked before the plan is built: one count per
-group hash that reads the key columns only and combines map-side. Without any,
-the plan is one exchange and one aggregate. Otherwise their hashes are broadcast;
-at most ``rows / hot_rows`` groups can exceed the limit, which bounds their number.
+One lazy plan serves every group; nothing runs when it is built.
+
+1. Rows are labelled with a *piece*, a run of ``PIECE_PARTITIONS`` neighbouring input
+   partitions, and meet by (group, piece). A task so gathers at most what that many
+   input partitions hold of a group, whatever the group's size. Per piece, values are
+   collected as sorted lists next to the moments.
+2. A group that came from one piece is finished: its percentiles are read off by
+   position. That is the usual case.
+3. Groups of several pieces spread their values again, by (group, metric, cell), where
+   a cell is an interval of values and equal values are counted before the shuffle.
+   Running totals over cells, and over the values inside a cell, give every value its
+   rank. No step brings a group into one task.
+
+The same exchange of step 1 feeds both branches, so the input is read once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgeway.operators.hot_quantiles import QUANTILES, hot_group_quantiles
-from ridgeway.operators.lineage import materialise
-
-HOT_ROWS = 500_000
 APPROX_ACCURACY = 10_000
-HASH = "__group_hash"
+PIECE_PARTITIONS = 16
+#: Cells per factor e of a value's magnitude.
+CELLS = 4_096
 POINTS = {0.0: "p0", 0.25: "p25", 0.5: "p50", 0.75: "p75", 1.0: "p100"}
+QUANTILES = tuple(POINTS)
 
 
 def null_safe(keys: Sequence[str], left: str, right: str) -> Column:
@@ -59,7 +59,7 @@ def profile(
     counts: Mapping[str, str | Column] | None = None,
     sums: bool = False,
     approx: bool = False,
-    hot_rows: int | None = HOT_ROWS,
+    piece_partitions: int = PIECE_PARTITIONS,
 ) -> DataFrame:
     """Describe every metric per group.
 
@@ -67,8 +67,8 @@ def profile(
     counted (default: ``n_<first metric>``). Output: ``keys``, the counts, then
     per metric ``_avg``, ``_std`` and ``_p0 _p25 _p50 _p75 _p100`` (plus
     ``_sum`` on request). ``approx=True`` replaces exact percentiles by
-    mergeable sketches in a single pass. ``hot_rows=None`` skips the search for hot
-    groups, for inputs whose group sizes are known to be small.
+    mergeable sketches in a single pass. NaN counts as the greatest value, as in any
+    Spark order.
     """
     counts = counts or {f"n_{metrics[0]}": metrics[0]}
     keys, metrics = list(keys), list(metrics)
@@ -93,42 +93,136 @@ def profile(
         ]
         return _expand(rows.groupBy(*keys).agg(*plain, *points), metrics).select(*wanted)
 
-    lists = [F.sort_array(F.collect_list(F.col(m).cast("double"))).alias(m) for m in metrics]
-    hot = None if hot_rows is None else oversized_groups(rows, keys, hot_rows)
-    cold = rows if hot is None else _split(rows, keys, hot, "left_anti")
-    described = cold.repartition(*keys).groupBy(*keys).agg(*plain, *lists)
-    points = described.withColumns({f"{m}_points": _of_sorted(m) for m in metrics})
-    described = _expand(points, metrics).select(*wanted)
-    if hot is None:
-        return described
+    piece = F.floor(F.spark_partition_id() / piece_partitions)
+    packed = rows.select(*keys, piece.alias(PIECE), F.struct(*metrics, *counted).alias(CELLS_OF))
+    met = packed.repartition(*keys, PIECE)
+    pieces = _pieces(met, keys, metrics, counted, sums)
+    several = (
+        met.groupBy(*keys, PIECE)
+        .agg(F.min(F.xxhash64(CELLS_OF)).alias("any"))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias(SEVERAL), F.min("any").alias("any"))
+        # the second condition always holds; it makes this branch read the columns
+        # that the other one reads, so that both share one exchange
+        .where(f"{SEVERAL} > 1 AND any IS NOT NULL")
+        .drop("any")
+    )
+    marked = pieces.alias("p").join(several.alias("s"), null_safe(keys, "p", "s"), "left")
+    marked = marked.select("p.*", f"s.{SEVERAL}")
+    single = marked.where(F.col(SEVERAL).isNull())
+    single = single.withColumns({f"{m}_points": _of_sorted(f"{m}_list") for m in metrics})
+    split = marked.where(F.col(SEVERAL).isNotNull())
+    merged = _merged(split, keys, metrics, list(counted), sums)
+    return _expand(single, metrics).select(*wanted).unionByName(_expand(merged, metrics).select(*wanted))
 
-    hot_part = materialise(_split(rows, keys, hot, "left_semi"))
-    summary = hot_part.groupBy(*keys).agg(*plain)
-    located = hot_group_quantiles(hot_part, keys, metrics, hot_rows)
-    joined = summary.alias("s").join(located.alias("q"), null_safe(keys, "s", "q"), "left")
-    joined = _expand(joined.select("s.*", *[f"q.{m}_points" for m in metrics]), metrics)
-    return described.unionByName(joined.select(*wanted))
 
+PIECE, CELLS_OF, SEVERAL = "__piece", "__cells", "__pieces"
 
-def _group_hash(keys: Sequence[str]) -> Column:
-    """One long per group. Groups that share a hash are only ever treated alike,
-    so a collision can send an ordinary group down the hot path, nothing more."""
-    return F.xxhash64(*keys)
 
+def _pieces(
+    met: DataFrame, keys: Sequence[str], metrics: Sequence[str], counted: Mapping[str, Column], sums: bool
+) -> DataFrame:
+    """One row per group and piece: counts, moments and a sorted list per metric."""
+    rows = met.select(*keys, PIECE, f"{CELLS_OF}.*")
+    plain = [F.count(name).alias(name) for name in counted]
+    plain += [column for metric in metrics for column in _moments(metric, sums)]
+    lists = [F.sort_array(F.collect_list(F.col(m).cast("double"))).alias(f"{m}_list") for m in metrics]
+    return rows.groupBy(*keys, PIECE).agg(*plain, *lists)
 
-def oversized_groups(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
-    """Hashes of the groups with more than ``limit`` rows, ``None`` if there are none.
 
-    Runs one job over the key columns: a count per hash, combined map-side, that
-    shuffles 16 bytes per group instead of its keys.
-    """
-    counted = df.groupBy(_group_hash(keys).alias(HASH)).count()
-    hot = counted.where(F.col("count") > limit).select(HASH)
-    return None if hot.isEmpty() else materialise(hot)
+def _merged(
+    pieces: DataFrame, keys: list[str], metrics: list[str], counts: list[str], sums: bool
+) -> DataFrame:
+    """Counts, moments and ``<metric>_points`` of groups from their pieces."""
+    kinds = {f.name: f.dataType for f in pieces.schema}
+    totals = [*counts, *[f"{m}_sum" for m in metrics if sums]]
+    added = pieces.groupBy(*keys).agg(*[F.sum(t).cast(kinds[t]).alias(t) for t in totals])
+    lists = [F.struct(F.lit(m).alias("metric"), F.col(f"{m}_list").alias("list")) for m in metrics]
+    values = pieces.select(*keys, F.inline(F.array(*lists))).select(
+        *keys, "metric", F.explode("list").alias("value")
+    )
+    moments = values.groupBy(*keys, "metric").agg(
+        F.avg("value").alias("avg"), F.stddev_samp("value").alias("std")
+    )
+    found = moments.alias("m").join(
+        _ranked_points(values, keys).alias("r"), null_safe([*keys, "metric"], "m", "r")
+    )
+    found = found.select("m.*", "r.points")
+
+    def of(metric: str, column: str) -> Column:
+        return F.max(F.when(F.col("metric") == metric, F.col(column)))
+
+    wide = found.groupBy(*keys).agg(
+        *[of(m, c).cast(kinds[f"{m}_{c}"]).alias(f"{m}_{c}") for m in metrics for c in ("avg", "std")],
+        *[of(m, "points").alias(f"{m}_points") for m in metrics],
+    )
+    joined = added.alias("a").join(wide.alias("w"), null_safe(keys, "a", "w"), "left")
+    made = [f"w.{m}_{c}" for m in metrics for c in ("avg", "std", "points")]
+    return joined.select("a.*", *made)
+
 
+def _cell(value: Column) -> Column:
+    """A number that never falls as the value grows, ends and NaN included."""
+    size = F.floor(F.signum(value) * F.log1p(F.abs(value)) * CELLS)
+    finite = ~F.isnan(value) & (F.abs(value) < float("inf"))
+    beyond = F.when(value < 0, -1).otherwise(F.when(F.isnan(value), 2).otherwise(1)) * (1 << 40)
+    return F.when(finite, size).otherwise(beyond).cast("bigint")
 
-def _split(df: DataFrame, keys: Sequence[str], hot: DataFrame, how: str) -> DataFrame:
-    return df.join(F.broadcast(hot), _group_hash(keys) == F.col(HASH), how)
+
+def _ranked_points(values: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, metric, points`` from the ranks of all values."""
+    group = [*keys, "metric"]
+    counted = values.groupBy(*group, _cell(F.col("value")).alias("cell"), "value").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    cells = counted.groupBy(*group, "cell").agg(F.sum("n").alias("n"))
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select(
+        *group,
+        "cell",
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"),
+        F.sum("n").over(whole).alias("all"),
+    )
+    inside = (
+        Window.partitionBy(*group, "cell")
+        .orderBy("value")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    placed = counted.withColumn("at", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    ranked = placed.alias("v").join(cells.alias("c"), null_safe([*group, "cell"], "v", "c"))
+    ranked = ranked.select("v.*", "c.all", (F.col("c.base") + F.col("v.at")).alias("first"))
+    held = F.filter(
+        _ranks(), lambda r: (r >= F.col("first")) & (r < F.col("first") + F.col("n"))
+    )
+    found = ranked.select(*group, "all", F.explode(held).alias("rank"), "value")
+    # at most ten (rank, value) pairs per group and metric
+    table = found.groupBy(*group, "all").agg(
+        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at")
+    )
+    return table.select(*group, F.array(*[_from_ranks(q) for q in QUANTILES]).alias("points"))
+
+
+def _ranks() -> Column:
+    """Zero-based ranks on both sides of each percentile position."""
+    positions = [(F.col("all") - 1) * F.lit(q) for q in QUANTILES]
+    return F.array_distinct(F.array(*[side(p) for p in positions for side in (F.floor, F.ceil)]))
+
+
+def _from_ranks(q: float) -> Column:
+    position = (F.col("all") - 1) * F.lit(q)
+    lower, upper = F.floor(position), F.ceil(position)
+    return _between(F.element_at("at", lower), F.element_at("at", upper), position - lower)
+
+
+def _between(low: Column, high: Column, part: Column) -> Column:
+    """Interpolation; exactly ``low`` if the position is a rank or both values agree.
+    Between a finite value and an infinite one the result is infinite."""
+    infinite = (F.abs(low) == float("inf")) | (F.abs(high) == float("inf"))
+    weighted = F.when(infinite, low * (1 - part) + high * part)
+    return F.when((part == 0) | (low == high), low).otherwise(
+        F.coalesce(weighted, low + part * (high - low))
+    )
 
 
 def _of_sorted(values: str) -> Column:
@@ -137,8 +231,7 @@ def _of_sorted(values: str) -> Column:
     def at(q: Column) -> Column:
         position = (F.size(values) - 1) * q
         lower, upper = F.floor(position).cast("int"), F.ceil(position).cast("int")
-        low, high = F.get(values, lower), F.get(values, upper)
-        return low + (position - lower) * (high - low)
+        return _between(F.get(values, lower), F.get(values, upper), position - lower)
 
     return F.transform(F.array(*[F.lit(q) for q in QUANTILES]), at)
 

@@ -11,7 +11,7 @@ from ridgeway.functions.msisdn import canonical, with_country_code
 from ridgeway.operators.aggregates import lookup_label, sum_columns
 from ridgeway.operators.calendar import slice_periods
 from ridgeway.operators.cohort import restrict_to_cohort
-from ridgeway.operators.profile import HOT_ROWS, profile
+from ridgeway.operators.profile import profile
 
 # The code list of channel types, the delivered status, and the
 # amounts a recharge is described by.
@@ -32,7 +32,6 @@ def electronic_recharge_profile(
     cohort: DataFrame,
     periods=None,
     with_year: bool = False,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Amount and commission profile per ISO week, subscriber and channel type.
 
@@ -59,8 +58,7 @@ def electronic_recharge_profile(
         rows,
         [*by, *year, "week_nb", "msisdn", "type_transaction"],
         ["transfer_amount", "commission"],
-        {"n_transfers": "transfer_amount"},
-        hot_rows=hot_rows,
+        {"n_transfers": "transfer_amount"}
     )
 
 
@@ -69,7 +67,6 @@ def recharge_profile(
     cohort: DataFrame,
     periods=None,
     strict_tags: bool = False,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Profile of recharges and emergency loans per subscriber and line type.
 
@@ -102,7 +99,7 @@ def recharge_profile(
         *[column.alias(name) for name, column in columns.items()],
     )
     keys = [*by, "msisdn", "subscriber_type"]
-    return profile(tagged, keys, list(columns), counts, hot_rows=hot_rows)
+    return profile(tagged, keys, list(columns), counts)
 
 
 def subscription_mix(subscriptions: DataFrame, cohort: DataFrame, periods=None) -> DataFrame:

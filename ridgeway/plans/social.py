@@ -15,7 +15,7 @@ from ridgeway.operators.calendar import period_literals, slice_periods
 from ridgeway.operators.cohort import distinct_cohort, restrict_to_cohort
 from ridgeway.operators.graph import aggregate_edges, in_out_profile, peer_statistics
 from ridgeway.operators.lineage import materialise
-from ridgeway.operators.profile import HOT_ROWS, profile
+from ridgeway.operators.profile import profile
 from ridgeway.operators.triangles import BUSY_DEGREE, with_triangles
 
 # The customer category of private persons, the universe of the
@@ -119,7 +119,6 @@ def telecom_indicators(
     categories: Sequence[str] = CATEGORIES,
     re_id: str | None = None,
     universe: str | None = MOBILE,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Indicators of one service, per category and subscriber.
 
@@ -152,8 +151,7 @@ def telecom_indicators(
             [*by, "msisdn"],
             ["bytes", "conso_mb"],
             {"n_exch_data": "bytes"},
-            sums=True,
-            hot_rows=hot_rows,
+            sums=True
         )
     return event_count(members, [*by, "msisdn"], f"nbr_exch_{service.lower()}")
 
@@ -167,7 +165,6 @@ def message_profile(
     service_code: int = MESSAGE_SERVICE,
     categories: Sequence[str] = CATEGORIES,
     re_id: str | None = None,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Exchanges per peer, received and sent, for every cohort member.
 
@@ -202,7 +199,7 @@ def message_profile(
         mine = restrict_to_cohort(edges.withColumnRenamed(own, "msisdn"), cohort)
         weighted = mine.withColumnRenamed("exchanges", f"msg_{side}")
         return profile(
-            weighted, [*by, "msisdn"], [f"msg_{side}"], {count: peer}, sums=True, hot_rows=hot_rows
+            weighted, [*by, "msisdn"], [f"msg_{side}"], {count: peer}, sums=True
         )
 
     received = one_side("dst", "src", "in", "nbr_src")

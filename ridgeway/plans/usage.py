@@ -11,7 +11,7 @@ from ridgeway.functions import predicates as P
 from ridgeway.functions.msisdn import canonical
 from ridgeway.operators.calendar import slice_periods
 from ridgeway.operators.cohort import restrict_to_cohort
-from ridgeway.operators.profile import HOT_ROWS, profile
+from ridgeway.operators.profile import profile
 
 # Columns of the delivered activity file, in its order.
 ACTIVITY_COLUMNS = (
@@ -45,7 +45,7 @@ def activity_extract(
 
 
 def data_usage_profile(
-    cdr: DataFrame, cohort: DataFrame, periods=None, hot_rows: int | None = HOT_ROWS
+    cdr: DataFrame, cohort: DataFrame, periods=None
 ) -> DataFrame:
     """Profile of the bytes of every data session per subscriber."""
     sliced, by = slice_periods(cdr, "start_time", periods)
@@ -53,4 +53,4 @@ def data_usage_profile(
         *by, canonical(F.col("billing_nbr")).alias("msisdn"), F.col("bytes_0").alias("bytes")
     )
     rows = restrict_to_cohort(rows, cohort)
-    return profile(rows, [*by, "msisdn"], ["bytes"], {"n_sessions": "bytes"}, hot_rows=hot_rows)
+    return profile(rows, [*by, "msisdn"], ["bytes"], {"n_sessions": "bytes"})

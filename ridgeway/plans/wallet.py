@@ -10,7 +10,7 @@ from ridgeway.functions.msisdn import canonical
 from ridgeway.operators.aggregates import count_and_sum
 from ridgeway.operators.calendar import slice_periods
 from ridgeway.operators.cohort import restrict_to_cohort
-from ridgeway.operators.profile import HOT_ROWS, profile
+from ridgeway.operators.profile import profile
 from ridgeway.operators.reshape import transfer_sides, two_sided
 
 # Bill types and the codes that tell them apart.
@@ -46,18 +46,18 @@ def wallet_parties(tx: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def wallet_profile(
-    tx: DataFrame, cohort: DataFrame, periods=None, hot_rows: int | None = HOT_ROWS
+    tx: DataFrame, cohort: DataFrame, periods=None
 ) -> DataFrame:
     """Balance, amount and charge profile per subscriber, role, tag and categories."""
     sliced, by = slice_periods(tx, "transaction_date_time", periods)
     rows = restrict_to_cohort(wallet_parties(sliced, by), cohort)
     keys = [*by, "msisdn", "user_id", "is_send", "tag", "category_code", "other_category_code"]
     metrics = ["pre_balance", "post_balance", "amount", "service_charge"]
-    return profile(rows, keys, metrics, {"n_transactions": "pre_balance"}, hot_rows=hot_rows)
+    return profile(rows, keys, metrics, {"n_transactions": "pre_balance"})
 
 
 def wallet_arpu(
-    tx: DataFrame, cohort: DataFrame, periods=None, hot_rows: int | None = HOT_ROWS
+    tx: DataFrame, cohort: DataFrame, periods=None
 ) -> DataFrame:
     """Service-charge profile per subscriber and role."""
     sliced, by = slice_periods(tx, "transaction_date_time", periods)
@@ -75,7 +75,7 @@ def wallet_arpu(
     )
     keys = [*by, "msisdn", "is_send"]
     counts = {"n_transactions": "service_charge"}
-    return profile(rows, keys, ["service_charge"], counts, hot_rows=hot_rows)
+    return profile(rows, keys, ["service_charge"], counts)
 
 
 def transfer_profile(
@@ -83,7 +83,6 @@ def transfer_profile(
     cohort: DataFrame,
     periods=None,
     per_direction: bool = False,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Airtime-transfer profile per subscriber, received and sent.
 
@@ -109,7 +108,7 @@ def transfer_profile(
     if per_direction:
         counts["n_transfer_out"] = "transfer_out"
     return profile(
-        rows, [*by, "msisdn"], ["transfer_in", "transfer_out"], counts, hot_rows=hot_rows
+        rows, [*by, "msisdn"], ["transfer_in", "transfer_out"], counts
     )
 
 

@@ -53,12 +53,13 @@ def test_two_sided_reshape_scans_each_source_once(spark):
     assert "Generate" in plan and "Union" not in plan
 
 
-def test_profile_of_ordinary_groups_is_one_exchange(spark):
-    lines = S.read(spark, SMALL, "lineitem")
-    plan = plan_of(profile(lines, ["l_suppkey"], ["l_tax", "l_discount"]))
-    tree = plan.split("\n\n")[0]
-    assert tree.count("Exchange") == 1 and "Join" not in tree
-    assert tree.count("ObjectHashAggregate") == 2
+def test_profile_reads_its_input_once(spark):
+    lines = S.read(spark, SMALL, "lineitem").repartition(4)
+    described = profile(lines, ["l_suppkey"], ["l_tax", "l_discount"], piece_partitions=1)
+    described.collect()
+    plan = described._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "Reused" in final
 
 
 def test_large_cohort_is_not_broadcast(spark):

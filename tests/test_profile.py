@@ -62,12 +62,17 @@ def skewed(n=3000):
 SCHEMA = "k string, side int, x double, y double"
 
 
-@pytest.mark.parametrize("hot_rows", [None, 10**6, 700, 100, 1])
-def test_profile_is_exact_however_groups_are_split(spark, hot_rows):
+def spread(spark, data, schema, parts=5):
+    """A frame whose rows lie in several partitions, with no order to them."""
+    return spark.createDataFrame(data, schema).repartition(parts)
+
+
+@pytest.mark.parametrize("pieces", [1, 2, 100])
+def test_profile_is_exact_however_groups_are_split(spark, pieces):
     data = skewed()
-    frame = spark.createDataFrame(data, SCHEMA)
+    frame = spread(spark, data, SCHEMA)
     result = profile(
-        frame, ["k", "side"], ["x", "y"], {"n_x": "x", "n_y": "y"}, hot_rows=hot_rows
+        frame, ["k", "side"], ["x", "y"], {"n_x": "x", "n_y": "y"}, piece_partitions=pieces
     ).cache()
     check(result, by_hand(data, 2, (0, 1)), "x", ["k", "side"])
     check(result, by_hand(data, 3, (0, 1)), "y", ["k", "side"])
@@ -82,9 +87,9 @@ def test_known_values_and_single_row_group(spark):
     assert got["c"]["n_x"] == 0 and got["c"]["x_avg"] is None and got["c"]["x_p50"] is None
 
 
-def test_group_of_nulls_and_equal_values_on_the_hot_path(spark):
+def test_group_of_nulls_and_equal_values_in_many_pieces(spark):
     data = [("a", 3.0)] * 20 + [("b", None)] * 20
-    frame = profile(spark.createDataFrame(data, "k string, x double"), ["k"], ["x"], hot_rows=5)
+    frame = profile(spread(spark, data, "k string, x double"), ["k"], ["x"], piece_partitions=1)
     got = {r["k"]: r for r in frame.collect()}
     assert got["a"]["x_p0"] == got["a"]["x_p100"] == 3.0 and got["a"]["x_std"] == 0.0
     assert got["b"]["n_x"] == 0 and got["b"]["x_p50"] is None
@@ -98,9 +103,9 @@ def test_group_of_nulls_and_equal_values_on_the_hot_path(spark):
         st.floats(-1e12, 1e12, allow_nan=False).map(lambda v: round(v, 3)), min_size=2, max_size=60
     )
 )
-def test_hot_path_agrees_with_sorting(spark, values):
+def test_pieces_agree_with_sorting(spark, values):
     data = [("k", v) for v in values]
-    frame = profile(spark.createDataFrame(data, "k string, x double"), ["k"], ["x"], hot_rows=1)
+    frame = profile(spread(spark, data, "k string, x double"), ["k"], ["x"], piece_partitions=1)
     row = frame.first()
     points = [row[f"x_{name}"] for name in POINTS]
     assert points == sorted(points)
@@ -109,11 +114,11 @@ def test_hot_path_agrees_with_sorting(spark, values):
 
 
 def test_sums_and_decimal_and_integer_metrics(spark):
-    frame = spark.range(1, 101).select(
+    frame = spark.range(1, 101, 1, 4).select(
         F.lit("k").alias("k"), F.col("id").alias("n"), F.col("id").cast("decimal(30,0)").alias("d")
     )
-    for hot_rows in (None, 10):
-        row = profile(frame, ["k"], ["n", "d"], sums=True, hot_rows=hot_rows).first()
+    for pieces in (1, 100):
+        row = profile(frame, ["k"], ["n", "d"], sums=True, piece_partitions=pieces).first()
         assert row["n_sum"] == 5050 and row["n_p50"] == 50.5
         assert int(row["d_sum"]) == 5050 and row["d_p25"] == 25.75 and row["d_p100"] == 100.0
 
@@ -125,11 +130,34 @@ def test_approximate_form_stays_close(spark):
     assert abs(row["x_p50"] - 5000) <= 2
 
 
-def test_values_over_hundreds_of_magnitudes_take_more_rounds(spark):
+@pytest.mark.parametrize("pieces", [1, 100])
+def test_values_that_are_not_finite(spark, pieces):
+    """As everywhere in Spark, NaN is the greatest value."""
+    inf, nan = float("inf"), float("nan")
+    data = [("a", v) for v in (1.0, 2.0, inf, inf, inf)] + [("b", v) for v in (-inf, -inf, 0.0, nan)]
+    frame = spread(spark, data, "k string, x double")
+    got = {r["k"]: r for r in profile(frame, ["k"], ["x"], piece_partitions=pieces).collect()}
+    assert [got["a"][f"x_{p}"] for p in POINTS] == [1.0, 2.0, inf, inf, inf]
+    b = got["b"]
+    assert b["x_p0"] == b["x_p25"] == -inf and b["x_p50"] == -inf and str(b["x_p100"]) == "nan"
+
+
+def test_building_the_profile_starts_no_job(spark):
+    frame = spread(spark, skewed(300), SCHEMA)
+    spark.sparkContext.setJobGroup("lazy", "building a profile")
+    try:
+        profile(frame, ["k"], ["x", "y"], piece_partitions=1)
+        started = spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not list(started)
+
+
+def test_values_over_hundreds_of_magnitudes(spark):
     values = [10.0 ** (i / 4) for i in range(-400, 400)]
     data = [("k", v) for v in values]
-    frame = spark.createDataFrame(data, "k string, x double")
-    row = profile(frame, ["k"], ["x"], hot_rows=150).first()
+    frame = spread(spark, data, "k string, x double")
+    row = profile(frame, ["k"], ["x"], piece_partitions=1).first()
     for name, q in POINTS.items():
         assert row[f"x_{name}"] == pytest.approx(percentile(values, q), rel=1e-9)
 
