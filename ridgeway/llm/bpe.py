@@ -35,8 +35,8 @@ from pyspark.sql.types import DataType, StructType
 from ridgeway.llm.common import ship_package
 
 CACHED_CHARS = 32
-CACHE_ENTRIES = 500_000
-CHARS_PER_BATCH = 40_000_000
+CACHE_ENTRIES = 200_000
+CHARS_PER_BATCH = 4_000_000
 ID_BITS = 20
 
 

@@ -8,10 +8,11 @@ weights. The result is the expected grade and the chance of any grade above 0.
 training sample are cut into ``GRADES`` equal parts by the share of telling words in
 them, which gives grades 1, 2, ....
 
-*Features.* Words and their beginnings of four to six letters, in lower case. A
-feature is telling if toxic texts of the sample hold it far more often than others;
-the telling ones, at most ``MAX_FEATURES``, are the vocabulary. Its values are square
-roots of shares of the text's words.
+*Features.* Words and their beginnings of four to eight letters, in lower case. A
+feature is telling if toxic texts of the sample hold it more often than others; the most
+telling ones are the vocabulary, and so are the words that begin like one of them but
+are not telling, since they can speak against it. A feature's value is the square root
+of its share of the text's words, in percent.
 
 Training reads a bounded sample of labelled texts, chosen by hash, in one task. All
 texts are then scored in a map without a shuffle, to which the model goes along as one
@@ -21,7 +22,7 @@ small table.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 from math import exp, log, sqrt
 
@@ -35,14 +36,16 @@ from pyspark.sql import functions as F
 from ridgeway.llm.common import ship_package
 
 GRADES = 3
-#: Bounds: labelled texts of either kind, and features of the model.
-SAMPLE_ROWS = 3_000
+#: Bounds: toxic labelled texts, others for each of them, and features of the model.
+SAMPLE_ROWS = 1_500
+OTHERS = 3
 MAX_FEATURES = 4_096
-LEAST_TEXTS = 5
-LEAST_LOG_ODDS = 3.0
-PENALTY = 1e-3
-STEPS = 400
-RATE = 0.3
+LEAST_TEXTS = 4
+LEAST_LOG_ODDS = 1.0
+BEGINNINGS = range(4, 9)
+PENALTY = 0.05
+STEPS = 300
+RATE = 0.1
 REJECT_AT = 0.5
 CACHED_WORDS = 500_000
 WORDS = regex.compile(r"\p{L}+").findall
@@ -66,50 +69,74 @@ def _logistic(x: float) -> float:
 
 def features(word: str) -> list[str]:
     """A word's features: itself, marked by its end, and its beginnings."""
-    return [f"{word}$", *(word[:n] for n in (4, 5, 6) if len(word) >= n)]
+    return [f"{word}$", *(word[:n] for n in BEGINNINGS if len(word) >= n)]
 
 
-def words(text: str | None) -> list[str]:
-    return WORDS((text or "").lower())
+def words(text: str | None) -> Counter:
+    """A text's words and how often each occurs."""
+    return Counter(WORDS((text or "").lower()))
 
 
 # -- training ---------------------------------------------------------------
-def telling(toxic: list[list[str]], other: list[list[str]]) -> list[str]:
-    """Features that toxic texts hold far more often, most telling first."""
+def vocabulary(toxic: list[Counter], other: list[Counter]) -> tuple[list[str], set[str]]:
+    """Features of the model, and those among them that are telling."""
 
-    def texts_with(texts: list[list[str]]) -> Counter:
+    def texts_with(texts: list[Counter]) -> Counter:
         held: Counter = Counter()
         for text in texts:
-            held.update({f for w in set(text) for f in features(w)})
+            held.update({f for w in text for f in features(w)})
         return held
 
     inside, outside = texts_with(toxic), texts_with(other)
-    rated = []
+    rated, common = [], []
     for feature, n in inside.items():
         odds = log((n + 0.5) / (len(toxic) + 1)) - log((outside[feature] + 0.5) / (len(other) + 1))
         if n >= LEAST_TEXTS and odds >= LEAST_LOG_ODDS:
             rated.append((-n * odds, feature))
-    return [f for _, f in sorted(rated)[:MAX_FEATURES]]
+    chosen = [f for _, f in sorted(rated)[: MAX_FEATURES // 2]]
+    telling = set(chosen)
+    for feature, n in outside.items():
+        against = feature[-1] == "$" and n >= LEAST_TEXTS and feature not in telling
+        if against and telling.intersection(features(feature[:-1])):
+            common.append((-n, feature))
+    return chosen + [f for _, f in sorted(common)[: MAX_FEATURES // 2]], telling
 
 
-def shares(text: list[str], known: dict[str, int]) -> dict[int, float]:
+class _Known(dict):
+    """Word -> its features among the given ones; remembers a bounded number of words."""
+
+    def __init__(self, given: Collection[str]):
+        super().__init__()
+        self.given = given
+
+    def __missing__(self, word: str) -> tuple[str, ...]:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        self[word] = found = tuple(f for f in features(word) if f in self.given)
+        return found
+
+
+def shares(text: Counter, known: _Known) -> dict[str, float]:
     """Value of every feature that a text holds."""
-    held = Counter(known[f] for w in text for f in features(w) if f in known)
-    return {f: sqrt(n / len(text)) for f, n in held.items()}
+    held: Counter = Counter()
+    for word, n in text.items():
+        for feature in known[word]:
+            held[feature] += n
+    return {f: sqrt(100 * n / text.total()) for f, n in held.items()}
 
 
 def fit(texts: list[str], toxic: list[int]) -> Model | None:
     """Train on a sample; None without texts of both kinds or without telling features."""
     split = [words(t) for t in texts]
     sides = [[s for s, t in zip(split, toxic, strict=True) if bool(t) == side] for side in (True, False)]
-    vocabulary = telling(*sides)
-    if not all(sides) or not vocabulary:
+    chosen, telling = vocabulary(*sides)
+    if not all(sides) or not telling:
         return None
-    known = {f: i for i, f in enumerate(vocabulary)}
-    sparse = [shares(s, known) for s in split]
-    density = [
-        sum(any(f in known for f in features(w)) for w in s) / max(1, len(s)) for s in split
-    ]
+    place = {f: i for i, f in enumerate(chosen)}
+    known = _Known(place)
+    sparse = [{place[f]: v for f, v in shares(s, known).items()} for s in split]
+    known = _Known(telling)
+    density = [sum(n for w, n in s.items() if known[w]) / max(1, s.total()) for s in split]
     cuts = np.quantile(sorted(d for d, t in zip(density, toxic, strict=True) if t), np.arange(1, GRADES) / GRADES)
     grade = np.array(
         [1 + int(np.searchsorted(cuts, d, "right")) if t else 0 for d, t in zip(density, toxic, strict=True)]
@@ -117,8 +144,8 @@ def fit(texts: list[str], toxic: list[int]) -> Model | None:
     rows = np.repeat(np.arange(len(sparse)), [len(s) for s in sparse])
     columns = np.array([f for s in sparse for f in s], "int64")
     values = np.array([v for s in sparse for v in s.values()])
-    weights, thresholds = descend(rows, columns, values, grade, len(vocabulary))
-    return Model(dict(zip(vocabulary, weights.tolist(), strict=True)), thresholds.tolist())
+    weights, thresholds = descend(rows, columns, values, grade, len(chosen))
+    return Model(dict(zip(chosen, weights.tolist(), strict=True)), thresholds.tolist())
 
 
 def descend(
@@ -157,7 +184,8 @@ def descend(
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
-    """Fit the model on up to ``sample_rows`` labelled texts of either kind.
+    """Fit the model on up to ``sample_rows`` toxic texts and ``OTHERS`` times as many
+    others, all labelled.
 
     Labels that are NULL, contradict one another or belong to no text are left out.
     """
@@ -170,10 +198,13 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         .select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"))
     )
     order = F.xxhash64("doc_id")
-    sides = [known.where(F.col("toxic") == t).orderBy(order, "doc_id").limit(sample_rows) for t in (1, 0)]
-    # at most twice sample_rows identifiers
-    chosen = F.broadcast(sides[0].unionByName(sides[1]))
-    sample = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "toxic")
+    sides = [
+        known.where(F.col("toxic") == toxic).orderBy(order, "doc_id").limit(rows)
+        for toxic, rows in ((1, sample_rows), (0, sample_rows * OTHERS))
+    ]
+    # at most (1 + OTHERS) * sample_rows identifiers
+    sampled = F.broadcast(sides[0].unionByName(sides[1]))
+    sample = docs.select("doc_id", "text").join(sampled, "doc_id").select("doc_id", "text", "toxic")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("doc_id").drop_duplicates("doc_id")
@@ -192,23 +223,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
 
 # -- scoring ----------------------------------------------------------------
-class _Known(dict):
-    """Word -> its features in the model; remembers a bounded number of words."""
-
-    def __init__(self, model: Model):
-        super().__init__()
-        self.weights = model.weights
-
-    def __missing__(self, word: str) -> tuple[str, ...]:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = found = tuple(f for f in features(word) if f in self.weights)
-        return found
-
-
-def score(text: list[str], known: _Known) -> float:
-    held = Counter(f for found in map(known.__getitem__, text) if found for f in found)
-    return sum(known.weights[f] * sqrt(n / len(text)) for f, n in held.items())
+def score(text: Counter, model: Model, known: _Known) -> float:
+    return sum(model.weights[f] * v for f, v in shares(text, known).items())
 
 
 def graded(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -223,7 +239,7 @@ def graded(docs: DataFrame, model: Model | None) -> DataFrame:
     rest = [c for c in docs.columns if c not in ("severity", "p_toxic", "toxic")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known(model) if model else None
+        known = _Known(model.weights) if model else None
         for batch in batches:
             made = [_grade(words(t), model, known) for t in batch["text"].to_pylist()]
             severity, chance = (pa.array([m[i] for m in made], pa.float64()) for i in (0, 1))
@@ -236,8 +252,8 @@ def graded(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _grade(text: list[str], model: Model | None, known: _Known | None) -> tuple[float, float]:
+def _grade(text: Counter, model: Model | None, known: _Known | None) -> tuple[float, float]:
     if model is None or not text:
         return 0.0, 0.0
-    chances = model.at_least(score(text, known))
+    chances = model.at_least(score(text, model, known))
     return sum(chances), chances[0]
