@@ -2,13 +2,15 @@
 
 Vectors are dealt to blocks of bounded size, queries too, and every query block
 meets every index block once; a task works on one such pair. Inside a block, each
-component has one posting segment per quantised value, that is, the members whose
-component lies in that step. For a query a segment's impact is the least product it can
-contribute, counted from the component's least. Segments are taken by descending
-impact into one accumulator per member. What a member can still gain is at most the
-sum, over the components, of the largest impact not taken yet. Work on a block stops
-when that sum proves that members outside the possible ones cannot reach the k-th best
-lower bound; nothing else stops it. The possible members are then scored exactly.
+component has one posting segment per quantised value, with the members whose
+component has that value. For a query a segment's impact is what it adds to a score,
+counted from the least that its component can add. Segments are taken in strata of
+descending impact. What a member can reach is the sum, over the components, of its
+segment's impact where that was taken, and of the bound of the current stratum where it
+was not. The members that could reach most are scored exactly, which raises the bar,
+the k-th best exact score so far. A member whose bound is below the bar is out; that is
+the only reason to leave one out. When few are left, or all segments have been
+taken, the possible members are scored exactly.
 """
 
 from __future__ import annotations
@@ -24,10 +26,10 @@ from ridgeway.llm.common import ship_package
 from ridgeway.operators.lineage import materialise
 
 SCALE = 256
-STEPS = 12
 BLOCK_ROWS = 8192
 QUERY_ROWS = 2048
-PROOF_EVERY = 24
+#: A stratum's least impact is this part of the one before; few members, per result.
+STRATUM, FIRST, FEW = 16, 64, 8
 
 
 def quantised(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
@@ -93,74 +95,44 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
 
 
 class BlockIndex:
-    """Posting segments of one block: per component its members by quantised step."""
+    """Posting segments of one block: for every component the segment (the value above
+    the component's least) that each member is in."""
 
     def __init__(self, x: np.ndarray):
         self.x = x
-        n, width = x.shape
-        low, high = x.min(axis=0), x.max(axis=0)
-        edges = low + (high - low + 1) * np.arange(STEPS + 1)[:, None] // STEPS
-        self.members: list[np.ndarray] = []
-        spans = []
-        for d in range(width):
-            step = np.searchsorted(edges[1:, d], x[:, d], "right")
-            order = np.argsort(step, kind="stable")
-            cuts = np.searchsorted(step[order], np.arange(STEPS + 1))
-            for s in range(STEPS):
-                members = order[cuts[s] : cuts[s + 1]]
-                if len(members):
-                    values = x[members, d]
-                    self.members.append(members)
-                    spans.append((d, values.min(), values.max()))
-        table = np.array(spans, "int64").reshape(-1, 3)
-        self.component, self.least, self.most = table[:, 0], table[:, 1], table[:, 2]
-
-    def search(self, q: np.ndarray, k: int, own: int) -> np.ndarray:
-        """Members that can be among the ``k`` best for ``q``; ``own`` is left out if
-        it is not negative."""
-        n, width = self.x.shape
-        if n <= k + 1:
-            return np.delete(np.arange(n), own) if own >= 0 else np.arange(n)
-        a, b = q[self.component] * self.least, q[self.component] * self.most
-        lower, upper = np.minimum(a, b), np.maximum(a, b)
-        floor = np.full(width, np.iinfo("int64").max)
-        np.minimum.at(floor, self.component, lower)
-        gain, most = lower - floor[self.component], upper - floor[self.component]
-        order = np.argsort(-gain, kind="stable")
-        slack = most - gain
-        score = np.zeros(n, "int64")
-        width_of = np.zeros(n, "int64")
-        # the largest possible contribution of every component among segments not taken
-        ahead = [sorted(most[self.component == d].tolist()) for d in range(width)]
-        rest = sum(a[-1] for a in ahead)
-        for turn, s in enumerate(order.tolist(), 1):
-            members = self.members[s]
-            score[members] += gain[s]
-            width_of[members] += slack[s]
-            left = ahead[self.component[s]]
-            rest -= left[-1]
-            left.remove(most[s])
-            rest += left[-1] if left else 0
-            if turn % PROOF_EVERY == 0 or turn == len(order):
-                possible = self._possible(score, score + width_of + rest, k, own)
-                if possible is not None:
-                    return possible
-        return possible_all(n, own)
-
-    def _possible(self, lower: np.ndarray, upper: np.ndarray, k: int, own: int) -> np.ndarray | None:
-        """Members whose upper bound reaches the k-th best lower bound, once they are
-        few enough to be scored."""
+        self.low, self.high = x.min(axis=0), x.max(axis=0)
+        self.segment = np.ascontiguousarray((x - self.low).T)
+        self.levels = [np.arange(n + 1) for n in (self.high - self.low).tolist()]
+
+    def search(self, q: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
+        """Members that can be among the ``k`` best for ``q`` and their exact scores;
+        ``own`` is left out if it is not negative."""
+        n = len(self.x)
+        members, codes = np.arange(n), self.segment
         if own >= 0:
-            lower = np.delete(lower, own)
-        bar = np.partition(lower, len(lower) - k)[len(lower) - k]
-        found = np.flatnonzero(upper >= bar)
-        if len(found) > max(64, 8 * k):
-            return None
-        return found[found != own]
-
-
-def possible_all(n: int, own: int) -> np.ndarray:
-    return np.delete(np.arange(n), own) if own >= 0 else np.arange(n)
+            members = np.delete(members, own)
+        least = int(np.minimum(q * self.low, q * self.high).sum())
+        most = np.abs(q) * (self.high - self.low)
+        order = np.argsort(-most, kind="stable").tolist()
+        stratum = int(most.max(initial=0)) // FIRST
+        while len(members) > FEW * k:
+            below = max(stratum - 1, 0)
+            reach = np.full(n, least + int(np.minimum(most, below).sum()))
+            for d in order:
+                if most[d] < stratum:
+                    break  # no segment of this component has been taken yet
+                impact = q[d] * self.levels[d]
+                impact -= impact.min()
+                reach += np.maximum(impact - min(int(most[d]), below), 0).take(codes[d])
+            reach = reach[members] if codes is self.segment else reach
+            best = np.argpartition(reach, len(reach) - k)[len(reach) - k :]
+            bar = (self.x[members[best]] @ q).min()
+            members = members[reach >= bar]
+            if stratum <= 1:
+                break
+            stratum //= STRATUM
+            codes, n = self.segment[:, members], len(members)
+        return members, self.x[members] @ q
 
 
 def search_block(block: pd.DataFrame, k: int, width: int) -> pd.DataFrame:
@@ -176,8 +148,7 @@ def search_block(block: pd.DataFrame, k: int, width: int) -> pd.DataFrame:
     place = {m: i for i, m in enumerate(members.tolist())}
     out = []
     for query, vector in zip(asked_ids.tolist(), q, strict=True):
-        possible = index.search(vector, k, place.get(query, -1))
-        scores = x[possible] @ vector
+        possible, scores = index.search(vector, k, place.get(query, -1))
         best = np.lexsort((members[possible], -scores))[:k]
         out.append((np.full(len(best), query), members[possible][best], scores[best]))
     columns = [np.concatenate(c) for c in zip(*out, strict=True)]
