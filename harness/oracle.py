@@ -49,24 +49,35 @@ def by_length(number: str) -> str:
     )
 
 
+# Columns of the activity file.
+ACTIVITY = (
+    "datedata", "balombeg", "balomend", "nbcashin", "volcashin", "nbcashout",
+    "volcashout", "nbcharge", "nbp2pin", "volp2pin", "nbp2pout", "volp2pout",
+    "nbmerpay", "volmerpay", "nbbillpay", "volbillpay", "nbotherin", "volotherin",
+    "nbotherout", "volotherout", "nbp2pphonein", "nbp2pphoneout", "nbtotalcharge",
+    "voltotalcharge", "nbcall", "timecall", "nbsms", "nbcontactcallin",
+    "nbcontactcallout", "nbcontactsms", "geoloccomm", "geolocnight",
+    "preferedagent", "preferedagentqual", "mmdate", "devicetype", "group_id",
+)
+
 # Fixed values of the expected labels, written out again so that a slip in the
 # library does not repeat itself here.
 SPEND_LABELS = (
-    ("= 0", "ZERO_VALUE"),
-    ("<= 1000", "VERY_LOW_VALUE - ]0-1000]"),
-    ("<= 2500", "LOW_VALUE - ]1000-2500]"),
-    ("<= 5000", "MIDDLE_VALUE - ]2500-5000]"),
-    ("<= 10000", "MIDDLE_HIGH_VALUE - ]5000-10000]"),
-    ("<= 50000", "HIGH_VALUE - ]10000-50000]"),
-    ("> 50000", "VERY_HIGH_VALUE - ]50000++["),
+    (0, 0, "ZERO_VALUE"),
+    (None, 1000, "VERY_LOW_VALUE - ]0-1000]"),
+    (1000, 2500, "LOW_VALUE - ]1000-2500]"),
+    (2500, 5000, "MIDDLE_VALUE - ]2500-5000]"),
+    (5000, 10000, "MIDDLE_HIGH_VALUE - ]5000-10000]"),
+    (10000, 50000, "HIGH_VALUE - ]10000-50000]"),
+    (50000, None, "VERY_HIGH_VALUE - ]50000++["),
 )
 SHARE_LABELS = (
-    ("<= 0.1", "]0 - 10%]"),
-    ("<= 0.3", "]10% - 30%]"),
-    ("<= 0.5", "]30% - 50%]"),
-    ("> 0.5", "]50% & ++["),
+    (None, 0.1, "]0 - 10%]"),
+    (0.1, 0.3, "]10% - 30%]"),
+    (0.3, 0.5, "]30% - 50%]"),
+    (0.5, None, "]50% & ++["),
 )
-PLAN_PATTERNS = (
+PLAN_LABELS = (
     ("profile", "%COMMUNITY%", "HYBRIDE-COMMUNITY"),
     ("profile", "SP_D_BR_NOVA", "HYBRIDE-COMMUNITY"),
     ("profile", "SP_D_OI%", "HYBRIDE-PERSONNEL"),
@@ -76,37 +87,78 @@ PLAN_PATTERNS = (
     ("profile", "%INTERNE%", "HYBRIDE-PERSONNEL"),
     ("type", "%HYBRID%", "HYBRIDE-AUTRE"),
     ("type", "%POSTP%", "POSTPAID"),
+    ("profile", "DAUPHIN", "ANIMALS-DAUPHIN"),
+    ("profile", "COLIBRI", "ANIMALS-COLIBRI"),
+    ("profile", "TIGRE", "ANIMALS-TIGRE"),
+    ("profile", "AIGLE", "ANIMALS-AIGLE"),
+    ("profile", "KIT_ELITE", "NOVAMIX-KIT_ELITE"),
+    ("profile", "KIT_CLASSIC", "NOVAMIX-KIT_CLASSIC"),
+    ("profile", "TOGO-TOGO", "NOVAMIX-TOGO-TOGO"),
+    ("profile", "KIT_JEUNE", "NOVAMIX-KIT_JEUNE"),
+    ("profile", "MAXY", "AGM-MAXY"),
+    ("profile", "PROXY", "AGM-PROXY"),
+    ("profile", "LIBERTY", "AGM-LIBERTY"),
+    ("profile", "BARA", "AGM-BARA"),
+    ("profile", "MAGALI", "AGM-MAGALI"),
+    ("profile", "%NEO%SECOND%", "AGM-NEO_SECONDE"),
+    ("profile", "%ORANG%INA%", "AGM-FUN_INTENS"),
 )
-PLAN_NAMES = {
-    "ANIMALS": "DAUPHIN COLIBRI TIGRE AIGLE",
-    "NOVAMIX": "KIT_ELITE KIT_CLASSIC TOGO-TOGO KIT_JEUNE",
-    "AGM": "MAXY PROXY LIBERTY BARA MAGALI",
-}
-LATE_PATTERNS = (("%NEO%SECOND%", "AGM-NEO_SECONDE"), ("%ORANG%INA%", "AGM-FUN_INTENS"))
-
-
-def cases(pairs, default: str = "NULL") -> str:
-    """CASE over (condition, result) pairs, first match wins."""
-    return f"CASE {' '.join(f'WHEN {c} THEN {v}' for c, v in pairs)} ELSE {default} END"
+OTHER_PLAN = "PREPAID-AUTRES"
+# Features of the segment model.
+MODEL_COLUMNS = (
+    "mnt_irtin", "nb_irtin", "mnt_irtout", "nb_irtout", "mnt_paiementfacture",
+    "nb_paiementfacture", "mnt_b2win", "mnt_b2wout", "nb_b2wout", "mnt_p2pout", "nb_p2pout",
+    "mnt_cashin", "nb_cashin", "mnt_p2pin", "nb_p2pin", "mnt_cashout", "nb_cashout",
+    "mnt_topup", "nb_topup", "mnt_transact_in", "nb_transact_in", "mnt_transact_out",
+    "nb_transact_out",
+)
+
+
+def lookup(rows: list[str], columns: str, condition: str) -> str:
+    """Label of the first row of a table of rules whose condition holds."""
+    numbered = ", ".join(f"({place}, {row})" for place, row in enumerate(rows))
+    return f"""(SELECT arg_min(rule.label, rule.place)
+        FROM (VALUES {numbered}) rule(place, {columns}) WHERE {condition})"""
+
+
+def band(x: str, borders) -> str:
+    """Label of the interval that holds ``x``; lower ends are open, so that the interval
+    with the lower place takes its upper border."""
+    rows = []
+    for low, high, label in borders:
+        low = "-1e300" if low is None else low
+        high = "1e300" if high is None else high
+        rows.append(f"CAST({low} AS DOUBLE), CAST({high} AS DOUBLE), '{label}'")
+    return lookup(rows, "low, high, label", f"{x} BETWEEN rule.low AND rule.high")
 
 
 def value_band(x: str) -> str:
-    return cases((f"{x} {test}", f"'{label}'") for test, label in SPEND_LABELS)
+    return band(x, SPEND_LABELS)
 
 
 def ratio_band(a: str, b: str) -> str:
-    banded = [(f"{a} / {b} {test}", f"'{label}'") for test, label in SHARE_LABELS]
-    return cases([(f"{b} = 0", "'ZERO'"), *banded])
+    return f"CASE WHEN {b} = 0 THEN 'ZERO' ELSE {band(f'({a} / {b})', SHARE_LABELS)} END"
 
 
 def tariff(profile: str, kind: str) -> str:
-    field = {"profile": profile, "type": kind}
-    pairs = [(f"{field[f]} LIKE '{p}'", f"'{label}'") for f, p, label in PLAN_PATTERNS]
-    for family, names in PLAN_NAMES.items():
-        listed = ", ".join(f"'{n}'" for n in names.split())
-        pairs.append((f"{profile} IN ({listed})", f"'{family}-' || {profile}"))
-    pairs += [(f"{profile} LIKE '{p}'", f"'{label}'") for p, label in LATE_PATTERNS]
-    return cases(pairs, "'PREPAID-AUTRES'")
+    rows = [f"'{field}', '{pattern}', '{label}'" for field, pattern, label in PLAN_LABELS]
+    seen = f"CASE rule.field WHEN 'profile' THEN {profile} ELSE {kind} END"
+    found = lookup(rows, "field, pattern, label", f"{seen} LIKE rule.pattern")
+    return f"coalesce({found}, '{OTHER_PLAN}')"
+
+
+def wireless(kind: str, snapshot: str) -> str:
+    return f"""SELECT {by_class('second_contact')} AS msisdn, plan_tarifaire,
+        '{kind}' AS debit, categorie, categorie_client, ville, numero FROM fixed_lines
+        WHERE {by_class('second_contact')} {IN_LINES} AND date_jour = '{snapshot}'"""
+
+
+def wired(snapshot: str) -> str:
+    return f"""SELECT DISTINCT msisdn, plan_tarifaire, debit, categorie,
+        categorie_client, etat, ville, numero FROM (
+          SELECT *, {by_class('contact')} AS msisdn FROM fixed_lines
+          UNION ALL SELECT *, {by_class('second_contact')} FROM fixed_lines)
+        WHERE msisdn {IN_LINES} AND date_jour = '{snapshot}'"""
 
 
 def day(expression: str) -> str:
@@ -167,17 +219,19 @@ def recharge_tags(strict: bool) -> str:
         FROM recharges WHERE msisdn {IN_COHORT} GROUP BY msisdn, subscriber_type"""
 
 
-def peer_stats(service: str, weight: str, label: str) -> str:
+def peer_stats(
+    service: str, weight: str, label: str, keys: str = "category", source: str = "categorised"
+) -> str:
     def side(end: str, name: str) -> str:
-        return f"""SELECT category, {end} AS msisdn, count(w) AS n_peers_{label}_{name},
+        return f"""SELECT {keys}, {end} AS msisdn, count(w) AS n_peers_{label}_{name},
             min(w) AS min_{label}_{name}, max(w) AS max_{label}_{name},
             {r('avg(w)')} AS avg_{label}_{name}, {r('stddev_samp(w)')} AS std_{label}_{name},
-            CAST(sum(w) AS BIGINT) AS sum_{label}_{name} FROM e GROUP BY category, {end}"""
+            CAST(sum(w) AS BIGINT) AS sum_{label}_{name} FROM e GROUP BY {keys}, {end}"""
 
     body = f"""SELECT * FROM ({side('src', 'out')}) JOIN ({side('dst', 'in')})
-        USING (category, msisdn) WHERE msisdn {IN_COHORT}"""
-    edges = f"""SELECT category, src, dst, CAST({weight} AS BIGINT) AS w FROM categorised
-        WHERE service = '{service}' AND universe = 'MOBILE' GROUP BY category, src, dst"""
+        USING ({keys}, msisdn) WHERE msisdn {IN_COHORT}"""
+    edges = f"""SELECT {keys}, src, dst, CAST({weight} AS BIGINT) AS w FROM {source}
+        WHERE service = '{service}' AND universe = 'MOBILE' GROUP BY {keys}, src, dst"""
     return with_tables(body.replace("FROM e ", f"FROM ({edges}) "))
 
 
@@ -223,6 +277,20 @@ def features_sql() -> str:
     return f"SELECT *, {number('o_custkey')} AS msisdn, {used} FROM ({grouped})"
 
 
+def value_segments(month: str | None = None) -> str:
+    wanted = f"AND v.month_id = '{month}'" if month else ""
+    return f"""SELECT '22507' || right(v.number, 8) AS msisdn, v.month_id,
+            {value_band('spend')} AS segment_valeur, {tariff('profil', 'kind')} AS plan_tarifaire,
+            {r('data_kb / 1024')} AS trafic_data_mo, {r('spend')} AS arpu_telco,
+            nation AS nb_pass_data, {r('money + money + 1')} AS arpu_data,
+            nation + 1 AS nb_pass_mix, {r('money / 2 + money / 4')} AS arpu_mix,
+            {ratio_band('via_wallet', 'recharge')} AS taux_usage_om, type_terminal
+            FROM (SELECT *, {by_length('raw')} AS number FROM value_datamart) v
+            JOIN (SELECT *, {by_length('raw')} AS number FROM terminal_datamart) t
+              ON v.number = t.number AND v.month_id = t.month_id
+            WHERE '22507' || right(v.number, 8) {IN_COHORT} {wanted}"""
+
+
 def measures_sql() -> str:
     kinds = [k for k in KINDS if not k.startswith("transact")]
     total = " + ".join(f"mnt_{k}" for k in kinds)
@@ -245,16 +313,16 @@ def measures_sql() -> str:
 
 
 def segments_sql() -> str:
-    from ridgeway.functions.usage import MODEL_FEATURES
-
     distances = ", ".join(
         "{'d': "
-        + " + ".join(f"({f} - {v}) * ({f} - {v})" for f, v in zip(MODEL_FEATURES, centre))
+        + " + ".join(f"({f} - {v}) * ({f} - {v})" for f, v in zip(MODEL_COLUMNS, centre))
         + f", 'l': {label}}}"
-        for label, centre in centroids(MODEL_FEATURES).items()
+        for label, centre in centroids(MODEL_COLUMNS).items()
     )
-    labelled = f"""SELECT *, list_min([{distances}]).l AS label FROM ({measures_sql()})
-        WHERE msisdn {IN_COHORT}"""
+    month = "CAST(right(msisdn, 8) AS INTEGER) % 3 + 1"
+    labelled = f"""SELECT *, '20240' || CAST({month} AS VARCHAR) AS month,
+        list_min([{distances}]).l AS label FROM ({measures_sql()})
+        WHERE msisdn {IN_COHORT} AND {month} >= 2"""
     meant = f"SELECT *, avg(arpu) OVER (PARTITION BY label) AS mean FROM ({labelled})"
     categorie = """CASE label WHEN 0 THEN CASE WHEN arpu <= mean THEN 'S11' ELSE 'S41' END
         WHEN 4 THEN CASE WHEN arpu <= mean THEN 'S21' ELSE 'S32' END
@@ -264,7 +332,7 @@ def segments_sql() -> str:
         WHEN 6 THEN CASE WHEN arpu <= mean THEN 'S52' ELSE 'S72' END
         ELSE 'S71' END"""
     split = f"SELECT *, {categorie} AS categorie FROM ({meant})"
-    return f"""SELECT msisdn, '202401' AS periode, {r('arpu')} AS arpu_om,
+    return f"""SELECT msisdn, month AS periode, {r('arpu')} AS arpu_om,
         {r('mnt_transactions')} AS mnt_transactions, service, label, categorie,
         substr(categorie, 2, 1) AS cluster FROM ({split})"""
 
@@ -286,13 +354,14 @@ def statements() -> dict[str, str]:
             "NULL",
             "count(transfer_in) AS n_transfer_in, count(transfer_out) AS n_transfer_out",
         ),
-        "recharge_weekly_profile": f"""SELECT CAST(weekofyear(transfer_date_time) AS INTEGER) AS week_nb,
+        "recharge_weekly_profile": f"""SELECT CAST(isoyear(transfer_date_time) AS INTEGER) AS year_of_week,
+            CAST(weekofyear(transfer_date_time) AS INTEGER) AS week_nb,
             '22507' || right(CAST(receiver_msisdn AS VARCHAR), 8) AS msisdn,
             lv_label AS type_transaction, count(transfer_amount) AS n_transfers,
             {described('transfer_amount')}, {described('commission')}
             FROM channel_tx LEFT JOIN code_list ON lv_code = kind
             WHERE status = '200' AND '22507' || right(CAST(receiver_msisdn AS VARCHAR), 8) {IN_COHORT}
-            GROUP BY 1, 2, 3""",
+            GROUP BY 1, 2, 3, 4""",
         "recharge_tag_profile": recharge_tags(False),
         "recharge_strict_tag_profile": recharge_tags(True),
         "subscription_mix": f"""SELECT msisdn, subscriber_type,
@@ -326,16 +395,8 @@ def statements() -> dict[str, str]:
                   AND vas_id = 'FACTURES' AND offer_name = 'Financier'
                   AND end_date = DATE '9999-12-31'))
             WHERE msisdn {IN_COHORT} GROUP BY 1, 2, 3""",
-        "value_segments": f"""SELECT '22507' || right(v.number, 8) AS msisdn, v.month_id,
-            {value_band('spend')} AS segment_valeur, {tariff('profil', 'kind')} AS plan_tarifaire,
-            {r('data_kb / 1024')} AS trafic_data_mo, {r('spend')} AS arpu_telco,
-            nation AS nb_pass_data, {r('money + money + 1')} AS arpu_data,
-            nation + 1 AS nb_pass_mix, {r('money / 2 + money / 4')} AS arpu_mix,
-            {ratio_band('via_wallet', 'recharge')} AS taux_usage_om, type_terminal
-            FROM (SELECT *, {by_length('raw')} AS number FROM value_datamart) v
-            JOIN (SELECT *, {by_length('raw')} AS number FROM terminal_datamart) t
-              ON v.number = t.number AND v.month_id = t.month_id
-            WHERE '22507' || right(v.number, 8) {IN_COHORT}""",
+        "value_segments": value_segments(),
+        "backfill_value_segments": value_segments("202402"),
         "multi_flag": f"""SELECT msisdn, max(a) AS statut_msim_home, max(b) AS statut_msim_alpha,
             max(m) AS statut_msim_beta FROM (
               SELECT {by_class(f'({WRITTEN})', True)} AS msisdn,
@@ -357,17 +418,35 @@ def statements() -> dict[str, str]:
               AND {number('c_custkey')} {IN_COHORT}""",
         "geo_location": f"""SELECT {number('c_custkey')} AS msisdn, r_name AS zone_commerciale,
             n_name AS region, lower(n_name) AS departement, c_mktsegment AS commune,
-            lower(c_mktsegment) AS geolocalite, c_name AS quartier, '20240101' AS date_id
+            lower(c_mktsegment) AS geolocalite, c_name AS quartier, '20240102' AS date_id
             FROM customer JOIN nation ON c_nationkey = n_nationkey
-            JOIN region ON n_regionkey = r_regionkey WHERE {number('c_custkey')} {IN_COHORT}""",
-        "line_base_one_contact": f"""SELECT {by_class('second_contact')} AS msisdn, plan_tarifaire,
-            'FDD' AS debit, categorie, categorie_client, ville, numero FROM fixed_lines
-            WHERE {by_class('second_contact')} {IN_LINES}""",
-        "line_base_two_contacts": f"""SELECT DISTINCT msisdn, plan_tarifaire, debit, categorie,
-            categorie_client, etat, ville, numero FROM (
-              SELECT *, {by_class('contact')} AS msisdn FROM fixed_lines
-              UNION ALL SELECT *, {by_class('second_contact')} FROM fixed_lines)
-            WHERE msisdn {IN_LINES}""",
+            JOIN region ON n_regionkey = r_regionkey WHERE {number('c_custkey')} {IN_COHORT}
+              AND c_custkey % 3 = 1""",
+        "line_base_one_contact": wireless('FDD', '20240102'),
+        "line_base_tdd": wireless('TDD', '20240103'),
+        "line_base_two_contacts": wired('20240102'),
+        "line_base_ftth": wired('20240103'),
+        "backfill_locations": f"""SELECT {number('c_custkey')} AS msisdn,
+            r_name AS zone_commerciale, n_name AS region, lower(n_name) AS departement,
+            c_mktsegment AS commune, lower(c_mktsegment) AS geolocalite, c_name AS quartier,
+            '2024010' || CAST(c_custkey % 3 + 1 AS VARCHAR) AS date_id
+            FROM customer JOIN nation ON c_nationkey = n_nationkey
+            JOIN region ON n_regionkey = r_regionkey WHERE {number('c_custkey')} {IN_COHORT}
+              AND c_custkey % 3 IN (1, 2)""",
+        "backfill_wallet_arpu": f"""SELECT {day('s')} AS period_start, {day('s + 6')} AS period_end,
+            msisdn, is_send, count(service_charge) AS n_transactions, {described('service_charge')}
+            FROM parties JOIN (SELECT CAST(DATE '1998-06-08' - 7 * CAST(i AS INTEGER) AS DATE) AS s
+              FROM range(0, 10) t(i))
+            ON transaction_date_time >= s AND transaction_date_time < s + 7
+            WHERE msisdn {IN_COHORT} GROUP BY s, msisdn, is_send""",
+        "wallet_arpu_range": f"""SELECT msisdn, is_send, count(service_charge) AS n_transactions,
+            {described('service_charge')} FROM parties WHERE msisdn {IN_COHORT}
+              AND transaction_date_time >= DATE '1997-03-01'
+              AND transaction_date_time < DATE '1997-09-01' GROUP BY msisdn, is_send""",
+        "activity_full_width": f"""SELECT {number('user_id')} AS mmid, ts AS datedata,
+            {', '.join(f'(event_id * {i + 3}) % 1009 AS {n}' for i, n in enumerate(ACTIVITY) if i)}
+            FROM events WHERE {number('user_id')} {IN_COHORT}
+              AND ts >= DATE '2024-01-01' AND ts < DATE '2024-01-11'""",
         "msisdn_normalise_all": f"""SELECT c_custkey, number, {c.format('number')} AS canonical,
             {by_class('number')} AS by_class, {by_class('number', True)} AS by_class_strict,
             {by_length('number')} AS by_length,
@@ -465,6 +544,12 @@ def statements() -> dict[str, str]:
             WHERE '22507' || right(id, 8) {IN_COHORT}""",
         "peer_in_out_profile": peers(),
         "telecom_sms": peer_stats("SMS", "count(service)", "nbr_exch_sms"),
+        "history_telecom_sms": peer_stats(
+            "SMS", "count(service)", "nbr_exch_sms", "period_start, period_end, category",
+            f"""(SELECT *, {day('s')} AS period_start, {day('s + 6')} AS period_end FROM categorised
+                JOIN (SELECT CAST(DATE '1998-06-08' - 7 * CAST(i AS INTEGER) AS DATE) AS s
+                      FROM range(0, 59) t(i)) ON start_time >= s AND start_time < s + 7)""",
+        ),
         "telecom_voix": peer_stats("VOIX", "sum(duration)", "total_duration_voix"),
         "telecom_data": f"""SELECT category, msisdn, count(bytes) AS n_exch_data,
             CAST(sum(bytes) AS BIGINT) AS bytes_sum, {described('bytes')},
@@ -534,8 +619,10 @@ def statements() -> dict[str, str]:
             service_cash, service_irt, service_p2p, service_voc, service_abon, service_frais,
             service_top_up, service FROM ({measures_sql()})""",
         "segment_centroid": segments_sql(),
+        "segment_kmeans": f"""SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_not_nearest,
+            CAST(0 AS BIGINT) AS n_unnamed FROM ({features_sql()}) WHERE msisdn {IN_COHORT}""",
     }
-    sql["graph_triangles_busy"] = sql["graph_triangles"]
+    sql["graph_triangles_salted"] = sql["graph_triangles"]
     return {
         name: text if text.startswith("WITH") else with_tables(text) for name, text in sql.items()
     }

@@ -27,6 +27,7 @@ from ridgeway.plans import lines, recharge, segments, social, subscribers, usage
 ALL_DAYS = ("19950101", "20011231")
 ALL_EVENTS = ("20240101", "20241231")
 LAST_SUNDAY = "20010805"
+SNAPSHOT = "20240102"
 ALL_WEEKS = 345
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,18 +138,61 @@ def fleet_flag(spark, sf):
 
 def geo_location(spark, sf):
     return subscribers.geo_location(
-        S.location_datamart(spark, sf), S.cohort(spark, sf), "20240101"
+        S.location_datamart(spark, sf), S.cohort(spark, sf), SNAPSHOT
     )
 
 
 def line_base_one_contact(spark, sf):
-    return lines.wireless_base(
-        S.fixed_lines(spark, sf), S.line_cohort(spark, sf), "FDD", "20240101"
-    )
+    return lines.wireless_base(S.fixed_lines(spark, sf), S.line_cohort(spark, sf), "FDD", SNAPSHOT)
+
+
+def line_base_tdd(spark, sf):
+    return lines.wireless_base(S.fixed_lines(spark, sf), S.line_cohort(spark, sf), "TDD", "20240103")
 
 
 def line_base_two_contacts(spark, sf):
-    return lines.wired_base(S.fixed_lines(spark, sf), S.line_cohort(spark, sf), "20240101")
+    return lines.wired_base(S.fixed_lines(spark, sf), S.line_cohort(spark, sf), SNAPSHOT)
+
+
+def line_base_ftth(spark, sf):
+    """Fibre lines name their client category and number in columns of their own."""
+    rows = S.fixed_lines(spark, sf).withColumnsRenamed({"categorie_client": "segment", "nd": "login"})
+    return lines.wired_base(rows, S.line_cohort(spark, sf), "20240103", "segment", "login")
+
+
+def backfill_locations(spark, sf):
+    """Day-keyed snapshots for the last two of three days."""
+    periods = C.plan_periods(spark, "history", end="20240104", unit="day", depth=2)
+    return subscribers.geo_location(S.location_datamart(spark, sf), S.cohort(spark, sf), periods)
+
+
+def backfill_value_segments(spark, sf):
+    """Month-keyed snapshots, the later of two months."""
+    periods = C.plan_periods(spark, "history", end="20240331", unit="month", depth=2)
+    return subscribers.value_segments(
+        S.value_datamart(spark, sf), S.terminal_datamart(spark, sf), S.cohort(spark, sf), periods
+    )
+
+
+def backfill_wallet_arpu(spark, sf):
+    """An event job over ten of the weeks."""
+    periods = C.plan_periods(spark, "history", end="19980614", depth=10)
+    return wallet.wallet_arpu(S.wallet_tx(spark, sf), S.cohort(spark, sf), periods)
+
+
+def history_telecom_sms(spark, sf):
+    """The telecom graph over its 59 weeks of history."""
+    periods = C.plan_periods(spark, "history", end="19980614", depth=C.HISTORY_WEEKS)
+    return social.telecom_indicators(_records(spark, sf), S.cohort(spark, sf), "SMS", periods)
+
+
+def wallet_arpu_range(spark, sf):
+    """As ``wallet_arpu``, over days that cut most rows."""
+    return wallet.wallet_arpu(S.wallet_tx(spark, sf), S.cohort(spark, sf), ("19970301", "19970831"))
+
+
+def activity_full_width(spark, sf):
+    return usage.activity_extract(S.activity(spark, sf), S.cohort(spark, sf), ("20240101", "20240110"))
 
 
 # -- functions and filters --------------------------------------------------
@@ -345,10 +389,10 @@ def graph_triangles(spark, sf):
     return with_triangles(G.vertices_of(rows), rows)
 
 
-def graph_triangles_busy(spark, sf):
-    """As ``graph_triangles``, with a limit that splits the busier vertices."""
+def graph_triangles_salted(spark, sf):
+    """As ``graph_triangles``, with salts from a few dozen edges on."""
     rows = S.edges(spark, sf)
-    return with_triangles(G.vertices_of(rows), rows, busy=60)
+    return with_triangles(G.vertices_of(rows), rows, edges_per_salt=20)
 
 
 def graph_indicators(spark, sf):
@@ -432,9 +476,7 @@ def days_calendar(spark, sf):
 
 
 def backfill_weekly(spark, sf):
-    periods = C.plan_periods(
-        spark, "new_clients.csv", LAST_SUNDAY, LAST_SUNDAY, depth=ALL_WEEKS
-    )
+    periods = C.plan_periods(spark, "history", end=LAST_SUNDAY, depth=ALL_WEEKS)
     orders, by = C.slice_periods(S.read(spark, sf, "orders"), "o_orderdate", periods)
     return profile(orders, [*by, "o_orderpriority"], ["o_totalprice"], {"n_orders": "o_totalprice"})
 
@@ -455,7 +497,7 @@ def segment_centroid(spark, sf):
         usage_features(spark, sf),
         S.cohort(spark, sf),
         centroids(MODEL_FEATURES),
-        ("202401", "202406"),
+        ("202402", "202406"),
     )
     return scored.select(
         "msisdn", "periode", "arpu_om", "mnt_transactions", "service", "label", "categorie", "cluster"
@@ -463,10 +505,25 @@ def segment_centroid(spark, sf):
 
 
 def segment_kmeans(spark, sf):
+    """Trained centres: rows, rows whose label is not the nearest centre by a second
+    computation, and rows without category."""
     features = usage_features(spark, sf)
     trained = M.fit_centroids(features, MODEL_FEATURES, k=7, seed=7)
-    scored = segments.wallet_segments(features, S.cohort(spark, sf), trained)
-    return scored.select("msisdn", "label", "categorie", "cluster")
+    named = {label: f"S{label + 1}1" for label in trained}
+    scored = segments.wallet_segments(
+        features, S.cohort(spark, sf), trained, splits={}, whole=named
+    )
+
+    def far(label: int) -> Column:
+        return sum((F.col(f) - x) ** 2 for f, x in zip(MODEL_FEATURES, trained[label], strict=True))
+
+    own = F.coalesce(*[F.when(F.col("label") == label, far(label)) for label in trained])
+    least = F.least(*[far(label) for label in trained])
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(own > least * (1 + 1e-9)).alias("n_not_nearest"),
+        F.count_if(F.col("categorie").isNull()).alias("n_unnamed"),
+    )
 
 
 def registered() -> dict[str, Query]:
@@ -474,12 +531,14 @@ def registered() -> dict[str, Query]:
         wallet_profile, wallet_arpu, profile_large_groups, transfer_profile,
         transfer_profile_per_direction, recharge_weekly_profile, recharge_tag_profile,
         recharge_strict_tag_profile, subscription_mix, activity_extract, data_usage_profile, bill_payments,
+        wallet_arpu_range, activity_full_width, backfill_locations, backfill_value_segments,
+        backfill_wallet_arpu, history_telecom_sms, line_base_tdd, line_base_ftth,
         value_segments, multi_flag, fleet_flag, geo_location, line_base_one_contact,
         line_base_two_contacts, msisdn_normalise_all, label_functions, day_range_filter,
         transaction_filters, open_records, category_service_filter, optional_filters,
         dim_left_join, dim_inner_chain, cohort_semi, cohort_outer_complete, two_sided_rows,
         contact_rows, edge_aggregate, vertex_list, graph_in_out_profile, graph_degrees,
-        graph_triangles, graph_triangles_busy, graph_indicators, peer_in_out_profile,
+        graph_triangles, graph_triangles_salted, graph_indicators, peer_in_out_profile,
         weeks_calendar, forward_weeks_calendar, previous_week, months_calendar, month_ranges,
         days_calendar, backfill_weekly, usage_measures, segment_centroid, segment_kmeans,
     ]

@@ -132,7 +132,7 @@ TABLES = {
                l_suppkey AS called_prefix_id,
                (CASE WHEN l_linenumber % 2 = 1 THEN l_extendedprice ELSE 0 END
                 + CASE WHEN l_linenumber % 3 = 1 THEN l_tax * 100 ELSE 0 END
-                + l_quantity) / 100 AS conso_mb
+                + l_quantity) / 100 AS conso_mb, l_shipdate AS start_time
         FROM order_lines""",
     "events_known": """
         SELECT DISTINCT l_returnflag || l_linestatus AS re_id,
@@ -144,7 +144,7 @@ TABLES = {
                CASE WHEN length(called_nbr) <= 10 OR left(called_nbr, 7) LIKE '%225%'
                     THEN '22507' || right(called_nbr, 8) ELSE called_nbr END AS dst,
                '22507' || right(calling_nbr, 8) AS msisdn,
-               service, universe, cdr.re_id, categorie, duration, bytes, conso_mb
+               service, universe, cdr.re_id, categorie, duration, bytes, conso_mb, start_time
         FROM cdr JOIN supplier ON s_suppkey = called_prefix_id AND s_acctbal > 0
                  JOIN events_known ON cdr.re_id = events_known.re_id""",
     "categorised": """
@@ -178,7 +178,8 @@ TABLES = {
                {WRITTEN} AS contact,
                CASE c_nationkey % 3 WHEN 0 THEN {LINE} WHEN 1 THEN '225' || {LOCAL}
                     ELSE 'n/a' END AS second_contact,
-               'CITY' || CAST(c_nationkey AS VARCHAR) AS ville, c_name AS numero
+               'CITY' || CAST(c_nationkey AS VARCHAR) AS ville, c_name AS numero,
+               '2024010' || CAST(c_custkey % 3 + 1 AS VARCHAR) AS date_jour
         FROM customer""",
     "edge_rows": """
         SELECT o_custkey AS src, l_partkey AS dst, l_extendedprice AS amount,

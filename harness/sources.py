@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridgeway.plans.usage import ACTIVITY_COLUMNS
+
 PROFILES = (
     "xCommunityx", "SPXD_BR_NOVA", "SP_D_OI_1", "mytest", "dauphin", "KIT_JEUNE",
     "bara", "neo plus second", "orangina", "other", "abc2007", "sp br_nova x",
@@ -31,6 +33,23 @@ def short_number(key: str) -> Column:
     return F.concat(F.lit("07"), digits(key))
 
 
+def snapshot_day(key: str) -> Column:
+    """One of the first three days of 2024."""
+    return F.concat(F.lit("2024010"), (F.col(key) % 3 + 1).cast("string"))
+
+
+def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the columns of the delivered activity file, each another number."""
+    numbers = [
+        ((F.col("event_id") * (i + 3)) % 1009).alias(name)
+        for i, name in enumerate(ACTIVITY_COLUMNS)
+        if name != "datedata"
+    ]
+    return read(spark, sf_dir, "events").select(
+        short_number("user_id").alias("mmid"), F.col("ts").alias("datedata"), *numbers
+    )
+
+
 def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with money on their account."""
     customers = read(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0)
@@ -354,7 +373,7 @@ def location_datamart(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("unite_administrative"),
         F.lower("c_mktsegment").alias("geolocalite"),
         F.col("c_name").alias("quartier"),
-        F.lit("20240101").alias("date_id"),
+        snapshot_day("c_custkey").alias("date_id"),
     )
 
 
@@ -376,7 +395,7 @@ def fixed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         other.alias("second_contact"),
         F.concat(F.lit("CITY"), nation.cast("string")).alias("ville"),
         F.col("c_name").alias("nd"),
-        F.lit("20240101").alias("date_jour"),
+        snapshot_day("c_custkey").alias("date_jour"),
     )
 
 

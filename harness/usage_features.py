@@ -40,7 +40,7 @@ def usage_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         grouped.withColumns(used)
         .withColumn("msisdn", home_number("o_custkey"))
-        .withColumn("periode", F.lit("202401"))
+        .withColumn("periode", F.concat(F.lit("20240"), (F.col("o_custkey") % 3 + 1).cast("string")))
         .drop("o_custkey")
     )
 

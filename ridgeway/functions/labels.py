@@ -77,6 +77,17 @@ def universe_label(code: Column) -> Column:
     return code_label(code.try_cast("int"), UNIVERSES, UNKNOWN)
 
 
+def has_label(code: Column, labels: Mapping[int, str], label: str) -> Column:
+    """Whether a code has a label, as a condition on the bare code column, which
+    reaches the scan. ``UNKNOWN`` stands for codes without label and for NULL."""
+    if label == UNKNOWN:
+        return code.isNull() | ~code.isin(*labels)
+    codes = [c for c, name in labels.items() if name == label]
+    if not codes:
+        raise ValueError(f"unknown label {label!r}")
+    return code.isin(*codes) if len(codes) > 1 else code == codes[0]
+
+
 def account_charge(accounts: Sequence[Column], charges: Sequence[Column]) -> Column:
     """Sum of the charges booked on account type 1, in whole currency units."""
     total = F.lit(0.0)

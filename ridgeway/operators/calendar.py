@@ -12,17 +12,17 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeway.functions.predicates import as_date, in_days
+from ridgeway.functions.predicates import as_date, in_days, snapshot
 
 # How many periods a first delivery for new clients covers.
 NEW_CLIENT_WEEKS = 26
+#: Weeks that the history of the telecom graph covers.
 HISTORY_WEEKS = 59
 NEW_CLIENT_DAYS = 180
 NEW_CLIENT_MONTHS = 6
-NEW_CLIENT_MARK = "new"
+MODES = ("history", "latest", "range")
 SNAPSHOT_LAG = 2
 LINE_SNAPSHOT_LAG = 7
-FORWARD_WEEKS_START = dt.date(2021, 4, 12)
 
 PERIOD = ("period_start", "period_end")
 DAY_ID = "yyyyMMdd"
@@ -118,9 +118,9 @@ def calendar(spark: SparkSession, periods: Column) -> DataFrame:
 
 def plan_periods(
     spark: SparkSession,
-    clients_path: str,
-    start: dt.date | str,
-    end: dt.date | str,
+    mode: str,
+    start: dt.date | str | None = None,
+    end: dt.date | str | None = None,
     run_day: dt.date | str | None = None,
     unit: str = "week",
     depth: int | None = None,
@@ -128,25 +128,35 @@ def plan_periods(
 ) -> DataFrame:
     """Calendar of the periods a run has to cover.
 
-    A client list whose path contains ``new`` gets its history: ``depth`` weeks,
-    days or months up to ``end``. Otherwise a given ``run_day`` selects the
-    automatic mode (previous complete week, the day ``snapshot_lag`` days back, or
-    the month of the previous week's end), and without it the range ``start``-``end`` is
-    taken as one period.
+    ``mode`` is ``history`` (for clients without any delivery so far: ``depth`` weeks,
+    days or months up to ``end``), ``latest`` (the period before ``run_day``: the
+    previous complete week, the day ``snapshot_lag`` days back, or the month of the
+    previous week's end) or ``range`` (``start`` to ``end`` as one period; by month, the
+    month of ``end``).
     """
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}, expected one of {MODES}")
+    missing = [n for n, v in (("end", end), ("start", start), ("run_day", run_day)) if v is None]
+    needed = {"history": ["end"], "latest": ["run_day"], "range": ["start", "end"]}[mode]
+    if unit == "month" and mode == "range":
+        needed = ["end"]
+    if any(n in missing for n in needed):
+        raise ValueError(f"mode {mode!r} needs {' and '.join(needed)}")
+    if depth is not None and depth < 1:
+        raise ValueError("depth counts periods and is at least 1")
     if unit not in ("week", "day", "month"):
         raise ValueError(f"unknown period unit {unit!r}")
-    last = F.lit(as_date(end))
-    if NEW_CLIENT_MARK in clients_path:
+    if mode == "history":
+        last = F.lit(as_date(end))
         if unit == "week":
             return calendar(spark, weeks_back(last, depth or NEW_CLIENT_WEEKS))
         if unit == "day":
             return calendar(spark, days_back(last, depth or NEW_CLIENT_DAYS))
         return calendar(spark, month_ranges_back(last, depth or NEW_CLIENT_MONTHS))
-    if run_day is None:
+    if mode == "range":
         if unit == "month":
-            return calendar(spark, month_ranges_back(last, 1))
-        return calendar(spark, F.array(_range(F.lit(as_date(start)), last)))
+            return calendar(spark, month_ranges_back(F.lit(as_date(end)), 1))
+        return calendar(spark, F.array(_range(F.lit(as_date(start)), F.lit(as_date(end)))))
     today = F.lit(as_date(run_day))
     if unit == "day":
         return calendar(spark, F.array(snapshot_day(today, snapshot_lag)))
@@ -180,6 +190,29 @@ def period_literals(periods: DataFrame) -> Column:
     return F.array(*[_range(F.lit(p[0]), F.lit(p[1])) for p in periods.select(*PERIOD).collect()])
 
 
+def snapshot_keys(periods: DataFrame, pattern: str) -> list[str]:
+    """Key of every period's last day (``DAY_ID`` or ``MONTH_ID``). A calendar holds a few
+    hundred periods, set by the run's parameters."""
+    keys = periods.select(F.date_format(PERIOD[1], pattern).alias("key")).distinct()
+    return sorted(row["key"] for row in keys.collect())
+
+
+def slice_snapshots(
+    df: DataFrame, key: str, periods: DataFrame | str | None, pattern: str = DAY_ID
+) -> DataFrame:
+    """Apply a snapshot job's period argument to its key column.
+
+    A string is one snapshot, a calendar one per period, ``None`` all. The keys
+    become literals of the filter, so that partitions prune and filters are pushed;
+    the key column stays in the result and tells the snapshots apart.
+    """
+    if periods is None:
+        return df
+    if isinstance(periods, str):
+        return df.where(snapshot(F.col(key), periods))
+    return df.where(F.col(key).isin(*snapshot_keys(periods, pattern)))
+
+
 def slice_periods(
     df: DataFrame, ts: str, periods: DataFrame | tuple | None
 ) -> tuple[DataFrame, list[str]]:

@@ -74,11 +74,15 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 
 def peer_statistics(
-    edges: DataFrame, weight: str, label: str, by: Sequence[str] = ()
+    sent: DataFrame, received: DataFrame, weight: str, label: str, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Number of peers and spread of the edge weight per vertex, sent and received."""
+    """Number of peers and spread of the edge weight per vertex that has both.
 
-    def one_side(end: str, side: str) -> DataFrame:
+    ``sent`` and ``received`` are edges, each already cut to the wanted ``src`` or
+    ``dst``.
+    """
+
+    def one_side(edges: DataFrame, end: str, side: str) -> DataFrame:
         value = F.col(weight)
         return edges.groupBy(*by, F.col(end).alias("id")).agg(
             F.count(value).alias(f"n_peers_{label}_{side}"),
@@ -89,4 +93,4 @@ def peer_statistics(
             F.sum(value).alias(f"sum_{label}_{side}"),
         )
 
-    return one_side("src", "out").join(one_side("dst", "in"), [*by, "id"])
+    return one_side(sent, "src", "out").join(one_side(received, "dst", "in"), [*by, "id"])

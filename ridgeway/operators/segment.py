@@ -20,7 +20,7 @@ SPLITS = {
     1: (">=", "S31", "S61"),
     6: ("<=", "S52", "S72"),
 }
-WHOLE_LABEL, WHOLE_CATEGORY = 2, "S71"
+WHOLE = {2: "S71"}
 
 
 def fill_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -73,12 +73,17 @@ def assign_labels(
 def fit_centroids(
     df: DataFrame, features: Sequence[str], k: int = 7, seed: int = 1, max_iter: int = 20
 ) -> dict[int, list[float]]:
-    """Train the clusters with MLlib; returns ``k`` centroids, a fixed-size result."""
+    """Train the clusters with MLlib; returns ``k`` centroids, a fixed-size result.
+
+    Labels are numbered by the centres' values, first feature first, so that a label
+    has a meaning that does not depend on the order in which clusters were found.
+    """
     assembled = VectorAssembler(
         inputCols=list(features), outputCol="features", handleInvalid="error"
     ).transform(fill_features(df, features).select(*features))
     model = KMeans(k=k, seed=seed, maxIter=max_iter).fit(assembled.select("features"))
-    return {i: [float(x) for x in centre] for i, centre in enumerate(model.clusterCenters())}
+    centres = sorted([float(x) for x in centre] for centre in model.clusterCenters())
+    return dict(enumerate(centres))
 
 
 def predict_with_model(df: DataFrame, features: Sequence[str], model) -> DataFrame:
@@ -88,22 +93,33 @@ def predict_with_model(df: DataFrame, features: Sequence[str], model) -> DataFra
     return scored.transform(df.withColumn("__features", vector)).drop("__features")
 
 
-def split_by_mean(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+def split_by_mean(
+    df: DataFrame,
+    value: str,
+    by: Sequence[str] = (),
+    splits: Mapping[int, tuple[str, str, str]] = SPLITS,
+    whole: Mapping[int, str] = WHOLE,
+) -> DataFrame:
     """Category of each row from its label and the label's mean of ``value``.
 
+    ``splits`` says per label which side of the mean takes which category, ``whole``
+    names the category of labels that are not split. Both belong to one set of
+    centroids; a label in neither has no category.
+
     The means are one small aggregate (labels x ``by`` rows) joined back, so the
     rows of a label are never brought together in one task.
     """
     keys = ["label", *by]
     means = df.groupBy(*keys).agg(F.avg(value).alias("__mean"))
     joined = df.join(means, keys, "left") if by else df.join(F.broadcast(means), keys, "left")
-    category = F.when(F.col("label") == WHOLE_LABEL, WHOLE_CATEGORY)
-    for label, (side, inside, outside) in SPLITS.items():
+    category = F.lit(None).cast("string")
+    for label, name in whole.items():
+        category = F.when(F.col("label") == label, name).otherwise(category)
+    for label, (side, inside, outside) in splits.items():
         x, mean = F.col(value), F.col("__mean")
         hit = x <= mean if side == "<=" else x >= mean
-        category = category.when(
-            F.col("label") == label, F.when(hit, inside).otherwise(outside)
-        )
+        halves = F.when(hit, inside).otherwise(outside)
+        category = F.when(F.col("label") == label, halves).otherwise(category)
     return joined.withColumn("categorie", category).drop("__mean")
 
 

@@ -6,10 +6,10 @@ sqrt(2 * edges) onward neighbours whatever its degree; only those short lists
 are ever gathered. A triangle is an edge whose two ends share an onward
 neighbour, found by intersecting two lists: no pairs of neighbours are listed.
 
-Busy vertices are split twice. Their degrees reach the edges by a broadcast of
-the few vertices above ``busy`` (at most ``2 * edges / busy`` of them); and
-their onward list is copied into salts, so that the edges arriving at them
-spread over many tasks.
+Degrees join by shuffle, where adaptive execution splits the partitions of a busy
+vertex. A vertex's onward list is copied once per ``EDGES_PER_SALT`` edges it has, and
+arriving edges choose a copy by hash, so the edges of a busy vertex spread over many
+tasks. All vertices are treated alike.
 """
 
 from __future__ import annotations
@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 
 from ridgeway.operators.lineage import materialise
 
-BUSY_DEGREE = 1_000_000
-SPREAD = 1024
+EDGES_PER_SALT = 10_000
 
 
 def undirected(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -31,37 +30,17 @@ def undirected(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return edges.select(*by, *ends).where(F.col("a") < F.col("b")).distinct()
 
 
-def _attach(
-    pairs: DataFrame, degree: DataFrame, end: str, other: str, by: Sequence[str], busy: int
-) -> DataFrame:
-    """Add the degree of one end.
-
-    Busy vertices are looked up by broadcast, the others by shuffle, where none
-    of them can hold more than ``busy`` edges. The edges of a busy vertex pass
-    through that shuffle too, spread by a salt that matches nothing.
-    """
-    keys, name = [*by, end], f"{end}_degree"
-    known = degree.select(*by, F.col("id").alias(end), "degree")
-    above = known.where(F.col("degree") > busy).withColumnRenamed("degree", "__busy")
-    usual = known.where(F.col("degree") <= busy).withColumn("__salt", F.lit(0))
-    spread = F.pmod(F.xxhash64(other), F.lit(SPREAD)).cast("int") + 1
-    salt = F.when(F.col("__busy").isNull(), 0).otherwise(spread)
-    tagged = pairs.join(F.broadcast(above), keys, "left").withColumn("__salt", salt)
-    found = tagged.join(usual, [*keys, "__salt"], "left")
-    return found.withColumn(name, F.coalesce("__busy", "degree")).drop(
-        "__busy", "degree", "__salt"
-    )
-
-
-def orient(pairs: DataFrame, by: Sequence[str] = (), busy: int = BUSY_DEGREE) -> DataFrame:
+def orient(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Edges ``low -> high`` by (degree, id), with both degrees."""
     degree = (
         pairs.select(*by, F.explode(F.array("a", "b")).alias("id"))
         .groupBy(*by, "id")
         .agg(F.count(F.lit(1)).alias("degree"))
     )
-    both = _attach(pairs, degree, "a", "b", by, busy)
-    both = _attach(both, degree, "b", "a", by, busy)
+    both = pairs
+    for end in ("a", "b"):
+        known = degree.select(*by, F.col("id").alias(end), F.col("degree").alias(f"{end}_degree"))
+        both = both.join(known, [*by, end])
     forward = F.struct("a_degree", "a") < F.struct("b_degree", "b")
 
     def end(first: str, second: str) -> Column:
@@ -77,25 +56,25 @@ def orient(pairs: DataFrame, by: Sequence[str] = (), busy: int = BUSY_DEGREE) ->
 
 
 def triangle_counts(
-    edges: DataFrame, by: Sequence[str] = (), busy: int = BUSY_DEGREE
+    edges: DataFrame, by: Sequence[str] = (), edges_per_salt: int = EDGES_PER_SALT
 ) -> DataFrame:
     """``id, n_triangles`` of the vertices that lie on at least one triangle.
 
     ``by`` keeps separate graphs apart, for instance one per period.
     """
     by = list(by)
-    oriented = materialise(orient(undirected(edges, by), by, busy))
+    oriented = materialise(orient(undirected(edges, by), by))
     onward = oriented.groupBy(*by, "low", "low_degree").agg(
         F.collect_list("high").alias("onward")
     )
-    copies = F.ceil(F.col("low_degree") / busy).cast("int")
+    copies = F.ceil(F.col("low_degree") / edges_per_salt).cast("int")
     targets = onward.select(
         *by,
         F.col("low").alias("high"),
         F.explode(F.sequence(F.lit(0), copies - 1)).alias("salt"),
         F.col("onward").alias("high_onward"),
     )
-    salts = F.ceil(F.col("high_degree") / busy)
+    salts = F.ceil(F.col("high_degree") / edges_per_salt)
     salt = F.pmod(F.xxhash64("low"), salts).cast("int").alias("salt")
     closed = (
         oriented.select(*by, "low", "high", salt)
@@ -116,8 +95,11 @@ def triangle_counts(
 
 
 def with_triangles(
-    vertices: DataFrame, edges: DataFrame, by: Sequence[str] = (), busy: int = BUSY_DEGREE
+    vertices: DataFrame,
+    edges: DataFrame,
+    by: Sequence[str] = (),
+    edges_per_salt: int = EDGES_PER_SALT,
 ) -> DataFrame:
     """Vertices (any frame with ``id``) with their triangle count, 0 if none."""
-    counted = triangle_counts(edges, by, busy)
+    counted = triangle_counts(edges, by, edges_per_salt)
     return vertices.join(counted, [*by, "id"], "left").na.fill(0, ["n_triangles"])

@@ -5,23 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeway.functions import predicates as P
 from ridgeway.functions.msisdn import by_operator_class
+from ridgeway.operators.calendar import slice_snapshots
 from ridgeway.operators.cohort import restrict_to_cohort
 from ridgeway.operators.reshape import explode_contacts
 
-COMMON = ("plan_tarifaire", "debit", "categorie", "categorie_client")
-
-
-def _snapshot(lines: DataFrame, day: str | None) -> DataFrame:
-    return lines if day is None else lines.where(P.snapshot(F.col("date_jour"), day))
+def _day_column(day: DataFrame | str | None) -> list[str]:
+    return ["date_jour"] if isinstance(day, DataFrame) else []
 
 
 def wireless_base(
-    lines: DataFrame, cohort: DataFrame, kind: str, day: str | None = None
+    lines: DataFrame, cohort: DataFrame, kind: str, day: DataFrame | str | None = None
 ) -> DataFrame:
-    """FDD or TDD lines with one contact; ``kind`` fills the speed column."""
-    rows = _snapshot(lines, day).select(
+    """FDD or TDD lines with one contact; ``kind`` fills the speed column.
+
+    ``day`` is one day, a calendar of days, or ``None`` for all; ``date_jour`` tells the
+    days apart where there are several.
+    """
+    rows = slice_snapshots(lines, "date_jour", day).select(
+        *_day_column(day),
         by_operator_class(F.col("second_contact")).alias("msisdn"),
         "plan_tarifaire",
         F.lit(kind).alias("debit"),
@@ -36,15 +38,17 @@ def wireless_base(
 def wired_base(
     lines: DataFrame,
     cohort: DataFrame,
-    day: str | None = None,
+    day: DataFrame | str | None = None,
     client_category: str = "categorie_client",
     number: str = "nd",
 ) -> DataFrame:
-    """ADSL or FTTH lines: one row per contact number found in the cohort."""
+    """ADSL or FTTH lines: one row per contact number found in the cohort; ``day`` as for
+    :func:`wireless_base`."""
     rows = explode_contacts(
-        _snapshot(lines, day),
+        slice_snapshots(lines, "date_jour", day),
         [by_operator_class(F.col("contact")), by_operator_class(F.col("second_contact"))],
     ).select(
+        *_day_column(day),
         "msisdn",
         "plan_tarifaire",
         "debit",

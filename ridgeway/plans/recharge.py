@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ridgeway.functions import labels as L
 from ridgeway.functions import predicates as P
+from ridgeway.functions.predicates import as_date
 from ridgeway.functions.msisdn import canonical, with_country_code
 from ridgeway.operators.aggregates import lookup_label, sum_columns
 from ridgeway.operators.calendar import slice_periods
@@ -31,13 +32,19 @@ def electronic_recharge_profile(
     codes: DataFrame,
     cohort: DataFrame,
     periods=None,
-    with_year: bool = False,
+    with_year: bool | None = None,
 ) -> DataFrame:
     """Amount and commission profile per ISO week, subscriber and channel type.
 
-    ``with_year=True`` adds ``year_of_week`` to the keys for ranges longer than
-    one year, where week numbers repeat.
+    Week numbers repeat every year. ``year_of_week`` is among the keys if the range may
+    span several ISO years (``with_year`` overrides that); a calendar's own keys tell
+    its periods apart.
     """
+    if with_year is None:
+        with_year = periods is None or (
+            isinstance(periods, tuple)
+            and len({as_date(day).isocalendar().year for day in periods}) > 1
+        )
     sliced, by = slice_periods(channel_tx, "transfer_date_time", periods)
     status = F.col("dwh_transfer_status_lv")
     done = sliced.where((status == DELIVERED) & P.not_cancelled(status, ("5", "6")))

@@ -16,7 +16,7 @@ from ridgeway.operators.cohort import distinct_cohort, restrict_to_cohort
 from ridgeway.operators.graph import aggregate_edges, in_out_profile, peer_statistics
 from ridgeway.operators.lineage import materialise
 from ridgeway.operators.profile import profile
-from ridgeway.operators.triangles import BUSY_DEGREE, with_triangles
+from ridgeway.operators.triangles import with_triangles
 
 # The customer category of private persons, the universe of the
 # mobile graphs, and the services that have two ends.
@@ -30,7 +30,10 @@ TABLE_SERVICES = ("DATA", "SVA", "IMS", "UNKNOWN")
 
 
 def wallet_edges(tx: DataFrame, tag: str | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """Person-to-person transfers summed per sender, receiver and tag."""
+    """Person-to-person transfers summed per sender, receiver and tag.
+
+    Numbers are normalised first: a subscriber written in two ways is one vertex.
+    """
     person = P.both_in(F.col("sender_category_code"), F.col("receiver_category_code"), SUBSCRIBER)
     rows = tx.where(
         P.all_of(
@@ -42,8 +45,8 @@ def wallet_edges(tx: DataFrame, tag: str | None = None, by: Sequence[str] = ())
     amount, charge = F.col("transaction_amount"), F.col("service_charge_amount")
     return aggregate_edges(
         rows,
-        F.col("sender_msisdn"),
-        F.col("receiver_msisdn"),
+        canonical(F.col("sender_msisdn")),
+        canonical(F.col("receiver_msisdn")),
         {
             "nbr_transactions": F.count(amount),
             "total_transaction": F.sum(amount),
@@ -59,15 +62,13 @@ def wallet_graph_indicators(
     cohort: DataFrame,
     periods=None,
     tag: str | None = None,
-    busy: int = BUSY_DEGREE,
 ) -> DataFrame:
     """In/out amounts, degrees and triangles of every two-way subscriber."""
     sliced, by = slice_periods(tx, "transaction_date_time", periods)
     edges = materialise(wallet_edges(sliced, tag, by))
     sides = in_out_profile(edges, "total_transaction", by)
-    indicators = with_triangles(sides, edges, by, busy)
-    named = indicators.withColumn("id", canonical(F.col("id"))).withColumnRenamed("id", "msisdn")
-    return restrict_to_cohort(named, cohort)
+    indicators = with_triangles(sides, edges, by)
+    return restrict_to_cohort(indicators.withColumnRenamed("id", "msisdn"), cohort)
 
 
 def telecom_records(cdr: DataFrame, extensions: DataFrame, events: DataFrame) -> DataFrame:
@@ -87,6 +88,8 @@ def telecom_records(cdr: DataFrame, extensions: DataFrame, events: DataFrame) ->
             canonical(F.col("billing_nbr")).alias("msisdn"),
             L.service_label(F.col("service_type_lv")).alias("service"),
             L.universe_label(F.col("dim_universe_lv")).alias("universe"),
+            F.col("service_type_lv").alias("service_code"),
+            F.col("dim_universe_lv").alias("universe_code"),
             "re_id",
             "categorie",
             "duration",
@@ -123,27 +126,35 @@ def telecom_indicators(
     """Indicators of one service, per category and subscriber.
 
     SMS and voice give peer statistics, data a byte and charge profile, the
-    other services a number of events.
+    other services a number of events. Service and universe are filtered by their
+    codes, so that the scan of the records can skip the others.
     """
     if service not in (*GRAPH_SERVICES, *TABLE_SERVICES):
         raise ValueError(f"unknown service {service!r}")
     sliced, by = slice_periods(records, "start_time", periods)
     rows = sliced.where(
         P.all_of(
-            F.col("service") == service,
+            L.has_label(F.col("service_code"), L.SERVICES, service),
             P.equals_if(F.col("re_id"), re_id),
-            P.equals_if(F.col("universe"), universe),
+            universe and L.has_label(F.col("universe_code"), L.UNIVERSES, universe),
         )
     )
     by = [*by, "category"]
     if service in GRAPH_SERVICES:
         label = GRAPH_SERVICES[service]
         weight = F.sum("duration") if service == "VOIX" else F.count("service")
-        edges = aggregate_edges(
-            by_category(rows, categories), F.col("src"), F.col("dst"), {"weight": weight}, by
+        edges = materialise(
+            aggregate_edges(
+                by_category(rows, categories), F.col("src"), F.col("dst"), {"weight": weight}, by
+            )
         )
-        stats = peer_statistics(edges, "weight", label, by).withColumnRenamed("id", "msisdn")
-        return restrict_to_cohort(stats, cohort)
+
+        def of_cohort(end: str) -> DataFrame:
+            mine = restrict_to_cohort(edges.withColumnRenamed(end, "msisdn"), cohort)
+            return mine.withColumnRenamed("msisdn", end)
+
+        stats = peer_statistics(of_cohort("src"), of_cohort("dst"), "weight", label, by)
+        return stats.withColumnRenamed("id", "msisdn")
     members = by_category(restrict_to_cohort(rows, cohort), categories)
     if service == "DATA":
         return profile(

@@ -11,6 +11,7 @@ from ridgeway.functions import labels as L
 from ridgeway.functions import predicates as P
 from ridgeway.functions.msisdn import by_length, by_operator_class, canonical
 from ridgeway.operators.aggregates import flag_max, indicator
+from ridgeway.operators.calendar import MONTH_ID, slice_snapshots
 from ridgeway.operators.cohort import restrict_to_cohort
 from ridgeway.operators.reshape import union_all
 
@@ -29,16 +30,19 @@ PLACE_COLUMNS = {
 
 
 def value_segments(
-    values: DataFrame, terminals: DataFrame, cohort: DataFrame, month: str | None = None
+    values: DataFrame,
+    terminals: DataFrame,
+    cohort: DataFrame,
+    month: DataFrame | str | None = None,
 ) -> DataFrame:
     """Spend, tariff, wallet-use and terminal segments per subscriber and month.
 
-    ``month=None`` covers every month of both tables in one job. The cohort is
-    applied to both sides before they are joined.
+    ``month`` is one month, a calendar of months, or ``None`` for every month of both
+    tables. The cohort is applied to both sides before they are joined.
     """
 
     def prepared(df: DataFrame) -> DataFrame:
-        df = df if month is None else df.where(P.snapshot(F.col("month_id"), month))
+        df = slice_snapshots(df, "month_id", month, MONTH_ID)
         numbered = df.withColumn("number", by_length(F.col("msisdn")))
         numbered = numbered.where(F.col("number").isNotNull())
         return restrict_to_cohort(
@@ -107,10 +111,14 @@ def network_flags(
     return flag_max(rows, ["msisdn"], [f"statut_msim_{n}" for n in networks])
 
 
-def fleet_flag(fleet: DataFrame, cohort: DataFrame, day: str | None = None) -> DataFrame:
-    """Whether a corporate line uses its fleet calls, per subscriber and day."""
-    rows = fleet if day is None else fleet.where(P.snapshot(F.col("date_id"), day))
-    rows = rows.where(
+def fleet_flag(
+    fleet: DataFrame, cohort: DataFrame, day: DataFrame | str | None = None
+) -> DataFrame:
+    """Whether a corporate line uses its fleet calls, per subscriber and day.
+
+    ``day`` is one day, a calendar of days, or ``None`` for all.
+    """
+    rows = slice_snapshots(fleet, "date_id", day).where(
         F.col("type_client_endperiod").isin(*FLEET_TYPES)
         & P.not_like_any(F.col("profil_endperiod"), FLEET_EXCLUDED)
     ).select(
@@ -121,9 +129,11 @@ def fleet_flag(fleet: DataFrame, cohort: DataFrame, day: str | None = None) -> D
     return restrict_to_cohort(rows, cohort)
 
 
-def geo_location(places: DataFrame, cohort: DataFrame, day: str | None = None) -> DataFrame:
-    """Where a subscriber lives, per day."""
-    rows = places if day is None else places.where(P.snapshot(F.col("date_id"), day))
+def geo_location(
+    places: DataFrame, cohort: DataFrame, day: DataFrame | str | None = None
+) -> DataFrame:
+    """Where a subscriber lives, per day; ``day`` as for :func:`fleet_flag`."""
+    rows = slice_snapshots(places, "date_id", day)
     rows = rows.select(
         canonical(F.col("msisdn")).alias("msisdn"),
         *[F.col(source).alias(name) for source, name in PLACE_COLUMNS.items()],

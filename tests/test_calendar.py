@@ -118,34 +118,55 @@ def test_zero_periods(on_days):
 
 
 @pytest.mark.parametrize(
-    ("path", "options", "count", "first"),
+    ("mode", "options", "count", "first"),
     [
-        ("x/new_clients.csv", {}, 26, (dt.date(2021, 9, 27), dt.date(2021, 10, 3))),
-        ("x/new_clients.csv", {"depth": 59}, 59, (dt.date(2021, 9, 27), dt.date(2021, 10, 3))),
-        ("x/new_clients.csv", {"unit": "day"}, 180, (dt.date(2021, 10, 4), dt.date(2021, 10, 4))),
-        ("x/new_clients.csv", {"unit": "month"}, 6, (dt.date(2021, 10, 1), dt.date(2021, 10, 31))),
-        ("all.csv", {}, 1, (dt.date(2021, 9, 30), dt.date(2021, 10, 5))),
-        ("all.csv", {"unit": "month"}, 1, (dt.date(2021, 10, 1), dt.date(2021, 10, 31))),
-        ("all.csv", {"run_day": "20211006"}, 1, (dt.date(2021, 9, 27), dt.date(2021, 10, 3))),
+        ("history", {}, 26, (dt.date(2021, 9, 27), dt.date(2021, 10, 3))),
+        ("history", {"depth": 59}, 59, (dt.date(2021, 9, 27), dt.date(2021, 10, 3))),
+        ("history", {"unit": "day"}, 180, (dt.date(2021, 10, 4), dt.date(2021, 10, 4))),
+        ("history", {"unit": "month"}, 6, (dt.date(2021, 10, 1), dt.date(2021, 10, 31))),
+        ("range", {}, 1, (dt.date(2021, 9, 30), dt.date(2021, 10, 5))),
+        ("range", {"unit": "month"}, 1, (dt.date(2021, 10, 1), dt.date(2021, 10, 31))),
+        ("latest", {"run_day": "20211006"}, 1, (dt.date(2021, 9, 27), dt.date(2021, 10, 3))),
         (
-            "all.csv", {"run_day": "20211006", "unit": "day"},
+            "latest", {"run_day": "20211006", "unit": "day"},
             1, (dt.date(2021, 10, 4), dt.date(2021, 10, 4)),
         ),
         (
-            "all.csv", {"run_day": "20211006", "unit": "month"},
+            "latest", {"run_day": "20211006", "unit": "month"},
             1, (dt.date(2021, 10, 1), dt.date(2021, 10, 31)),
         ),
     ],
 )
-def test_plan_periods(spark, path, options, count, first):
-    planned = C.plan_periods(spark, path, "20210930", "20211005", **options).collect()
+def test_plan_periods(spark, mode, options, count, first):
+    planned = C.plan_periods(spark, mode, "20210930", "20211005", **options).collect()
     assert len(planned) == count
     assert max(tuple(p) for p in planned) == first
 
 
 def test_unknown_unit(spark):
     with pytest.raises(ValueError):
-        C.plan_periods(spark, "a", "20210101", "20210102", unit="year")
+        C.plan_periods(spark, "range", "20210101", "20210102", unit="year")
+
+
+@pytest.mark.parametrize(
+    "mode, options",
+    [("newest", {}), ("history", {}), ("latest", {"end": "20210101"}), ("range", {"end": "20210101"}),
+     ("history", {"end": "20210101", "depth": 0})],
+)
+def test_modes_say_what_they_need(spark, mode, options):
+    with pytest.raises(ValueError):
+        C.plan_periods(spark, mode, **options)
+
+
+def test_snapshot_backfill_takes_one_key_per_period(spark):
+    days = [(f"202101{d:02d}", d) for d in range(1, 32)]
+    frame = spark.createDataFrame(days, "date_id string, d int")
+    periods = C.plan_periods(spark, "history", end="20210110", unit="day", depth=3)
+    got = C.slice_snapshots(frame, "date_id", periods).collect()
+    expected = [f"202101{d:02d}" for d in range(1, 32) if f"202101{d:02d}" in C.snapshot_keys(periods, C.DAY_ID)]
+    assert [r["date_id"] for r in got] == expected and len(expected) == 3
+    assert [r["d"] for r in C.slice_snapshots(frame, "date_id", "20210105").collect()] == [5]
+    assert C.slice_snapshots(frame, "date_id", None).count() == 31
 
 
 def test_assign_periods_equals_a_loop_over_periods(spark, rows):

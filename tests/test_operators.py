@@ -108,8 +108,8 @@ def test_triangles_with_busy_vertices_equal_brute_force(spark):
     edges += [(chooser.randrange(40), chooser.randrange(40)) for _ in range(90)]
     frame = edge_frame(spark, edges, "src int, dst int")
     expected = triangles_by_hand(edges)
-    for busy in (1, 5, 12, 10**6):
-        counted = T.with_triangles(G.vertices_of(frame), frame, busy=busy)
+    for salt in (1, 5, 12, 10**6):
+        counted = T.with_triangles(G.vertices_of(frame), frame, edges_per_salt=salt)
         assert {r["id"]: r["n_triangles"] for r in counted.collect()} == expected
     assert sum(expected.values()) % 3 == 0
 
@@ -148,7 +148,7 @@ def test_received_statistics_come_from_received_edges(spark):
     edges = spark.createDataFrame(
         [("a", "b", 1), ("a", "c", 3), ("b", "a", 10)], "src string, dst string, w long"
     )
-    row = {r["id"]: r for r in G.peer_statistics(edges, "w", "x").collect()}["a"]
+    row = {r["id"]: r for r in G.peer_statistics(edges, edges, "w", "x").collect()}["a"]
     assert (row["n_peers_x_out"], row["sum_x_out"]) == (2, 4)
     assert (row["n_peers_x_in"], row["sum_x_in"]) == (1, 10)
 

@@ -87,7 +87,7 @@ def test_snapshot_equality_prunes_partitions(spark, tmp_path):
 def test_backfill_joins_days_not_ranges(spark):
     from ridgeway.operators.calendar import assign_periods, plan_periods
 
-    periods = plan_periods(spark, "new.csv", "20010805", "20010805", depth=10)
+    periods = plan_periods(spark, "history", end="20010805", depth=10)
     plan = plan_of(assign_periods(S.read(spark, SMALL, "orders"), "o_orderdate", periods))
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
     assert "GreaterThanOrEqual(o_orderdate" in plan
