@@ -21,17 +21,18 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
 
     A round hangs each node's greater neighbours on its least neighbour, then the
     smaller ones; the rounds needed grow with the logarithm of the nodes. Minima are
-    combined before the shuffle, and a busy node's links meet its minimum in a join
-    whose skewed partitions can be split.
+    combined before the shuffle and checkpointed, so that both sides of the join with
+    them come straight from a shuffle; only then can the partitions of a busy node be
+    split.
     """
     u, v = F.greatest(a, b), F.least(a, b)
     edges, seen = _state(links.select(u.alias("u"), v.alias("v")).where("u > v").distinct())
     while seen[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = materialise(large.groupBy("u").agg(F.min("v").alias("m")))
         hung = large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = hung.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         before = seen

@@ -279,7 +279,9 @@ def compare_blocks(group: pd.DataFrame, words: int, threshold: tuple[int, int])
         root = _roots(len(rep), pairs, rep)
         out.append(pd.DataFrame({"rep": rep, "root": root, "links": links.astype("int64"), "spans": part["spans"]}))
     if not out:
-        return pd.DataFrame({"rep": [], "root": [], "links": [], "spans": []})
+        return pd.DataFrame({"rep": [], "root": [], "links": [], "spans": []}, dtype="int64").astype(
+            {"spans": bool}
+        )
     return pd.concat(out)
 
 

@@ -210,7 +210,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         group = group.sort_values("doc_id").drop_duplicates("doc_id")
         model = fit(group["text"].tolist(), group["toxic"].tolist())
         if model is None:
-            return pd.DataFrame({"feature": [], "value": []})
+            nothing = {"feature": pd.Series([], dtype=object), "value": pd.Series([], dtype=float)}
+            return pd.DataFrame(nothing)
         rows = [*model.weights.items(), *(("", t) for t in model.thresholds)]
         return pd.DataFrame(rows, columns=["feature", "value"])
 
