@@ -439,6 +439,17 @@ def statements() -> dict[str, str]:
               FROM range(0, 10) t(i))
             ON transaction_date_time >= s AND transaction_date_time < s + 7
             WHERE msisdn {IN_COHORT} GROUP BY s, msisdn, is_send""",
+        "file_partitioned_csv": f"""SELECT {day("date_trunc('week', ts)")} || '_to_'
+              || {day("date_trunc('week', ts) + INTERVAL 6 DAY")} AS period,
+            count(*) AS n_rows, CAST(sum((event_id * 7) % 1009) AS BIGINT) AS total
+            FROM events WHERE {number('user_id')} {IN_COHORT}
+              AND ts >= DATE '2024-01-01' AND ts < DATE '2024-01-29' GROUP BY 1""",
+        "file_plain_csv": f"""SELECT n_name AS region, count(*) AS n_rows,
+            min({number('c_custkey')}) AS first_msisdn
+            FROM customer JOIN nation ON c_nationkey = n_nationkey
+            WHERE {number('c_custkey')} {IN_COHORT} AND c_custkey % 3 = 1 GROUP BY n_name""",
+        "file_cohort": """SELECT count(*) AS n_clients, min(phone) AS first, max(phone) AS last
+            FROM cohort""",
         "wallet_arpu_range": f"""SELECT msisdn, is_send, count(service_charge) AS n_transactions,
             {described('service_charge')} FROM parties WHERE msisdn {IN_COHORT}
               AND transaction_date_time >= DATE '1997-03-01'

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +24,7 @@ from ridgeway.operators.cohort import complete_with_cohort, restrict_to_cohort
 from ridgeway.operators.profile import profile
 from ridgeway.operators.triangles import with_triangles
 from ridgeway.plans import lines, recharge, segments, social, subscribers, usage, wallet
+from ridgeway.sources import files
 
 # The day range spans all order dates, so the filter runs and every row counts.
 ALL_DAYS = ("19950101", "20011231")
@@ -118,6 +121,50 @@ def bill_payments(spark, sf):
     )
 
 
+# -- files ------------------------------------------------------------------
+def _folder(spark, name):
+    """A new folder for a round trip, below the session's shared one if it has any."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = base or "file://" + tempfile.mkdtemp(prefix="ridgeway-")
+    return files.result_path(f"{base}/{uuid.uuid4().hex}", name)
+
+
+def file_partitioned_csv(spark, sf):
+    """Four weeks of activity, written with a header per period and read again."""
+    periods = C.plan_periods(spark, "history", end="20240128", depth=4)
+    rows = usage.activity_extract(
+        S.activity(spark, sf), S.cohort(spark, sf), periods, columns=["datedata", "nbcashin", "volcashin"]
+    )
+    path = _folder(spark, "activity")
+    files.write_table(files.with_period_name(rows), path, ("period",))
+    back = spark.read.option("header", True).csv(path)
+    return back.groupBy(F.col("period").cast("string").alias("period")).agg(
+        F.count("mmid").alias("n_rows"), F.sum(F.col("volcashin").cast("bigint")).alias("total")
+    )
+
+
+def file_plain_csv(spark, sf):
+    """Headerless part files, read again by position."""
+    path = _folder(spark, "locations")
+    found = geo_location(spark, sf).select("msisdn", "region", "quartier")
+    files.write_plain_csv(found, path)
+    back = spark.read.schema("msisdn string, region string, quartier string").csv(path)
+    return back.groupBy("region").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("msisdn").alias("first_msisdn")
+    )
+
+
+def file_cohort(spark, sf):
+    """A client list with repeated rows, read as a cohort."""
+    path = _folder(spark, "clients")
+    clients = S.cohort(spark, sf).select(F.col("phone").alias("Phone"), F.lit("x").alias("Name"))
+    clients.union(clients).write.option("header", True).option("sep", ";").csv(path)
+    cohort = files.read_cohort(spark, path)
+    return cohort.agg(
+        F.count("phone").alias("n_clients"), F.min("phone").alias("first"), F.max("phone").alias("last")
+    )
+
+
 # -- snapshot jobs ----------------------------------------------------------
 def value_segments(spark, sf):
     return subscribers.value_segments(
@@ -531,7 +578,7 @@ def registered() -> dict[str, Query]:
         wallet_profile, wallet_arpu, profile_large_groups, transfer_profile,
         transfer_profile_per_direction, recharge_weekly_profile, recharge_tag_profile,
         recharge_strict_tag_profile, subscription_mix, activity_extract, data_usage_profile, bill_payments,
-        wallet_arpu_range, activity_full_width, backfill_locations, backfill_value_segments,
+        file_partitioned_csv, file_plain_csv, file_cohort, wallet_arpu_range, activity_full_width, backfill_locations, backfill_value_segments,
         backfill_wallet_arpu, history_telecom_sms, line_base_tdd, line_base_ftth,
         value_segments, multi_flag, fleet_flag, geo_location, line_base_one_contact,
         line_base_two_contacts, msisdn_normalise_all, label_functions, day_range_filter,
