@@ -46,7 +46,7 @@ def odd(spark):
         (1, None, None, None, None), (2, "", "en", "a", 0), (None, "no identifier here", "en", "a", 3),
         (3, " \n\t ", None, "a", 3), (4, sentence(1), "en", "b", 1), (5, sentence(1), "en", None, 1),
         (6, sentence(1) + " tail", "en", "b", 2), (7, LONG, "en", "b", 9), (7, LONG, "en", "b", 9),
-        (8, "é \U0001f600 token = abcdef123 Cc-By", "xx", "c", 1),
+        (8, "é \U0001f600 token = abcdef123 Cc-By", "xx", "c", 1),
     ]
     frame = spark.createDataFrame(rows, DOCUMENT)
     clash = ("row", "digest", "kept", "piece", "body", "size", "shard", "place", "block", "ids", "toxic", "n")
