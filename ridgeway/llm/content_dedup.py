@@ -1,6 +1,6 @@
 """Exact duplicates by sorting content.
 
-Rows are range-partitioned by the first bytes of their text and its digest.
+Rows are range-partitioned by the first bytes of their text and a hash of it.
 Spark samples the splitters; both keys are short, so the sample stays small
 however long the texts are. Within a range an external sort puts equal texts next
 to each other, and neighbours are compared over their full length: the window
@@ -59,9 +59,10 @@ def runs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
         "all_rows",
         "top_id",
         F.substring("body", 1, PREFIX_CHARS).alias("prefix"),
+        F.xxhash64("body").alias("hash"),
         F.coalesce(F.pmod(F.xxhash64("id"), pieces), F.lit(0)).alias("piece"),
-    ).repartitionByRange("prefix", "digest", "piece")
-    run = Window.partitionBy("prefix", "digest", "piece", "body")
+    ).repartitionByRange("prefix", "hash", "piece")
+    run = Window.partitionBy("prefix", "hash", "piece", "body")
     first = run.orderBy(F.desc_nulls_last("id"))
     sorted_runs = placed.select(
         "row",

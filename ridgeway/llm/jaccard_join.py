@@ -290,7 +290,9 @@ def _candidates(reps: DataFrame) -> DataFrame:
     """``rep, comp`` of the classes that share a band with another one."""
     keyed = reps.select("rep", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("size"))
-    links = keyed.join(buckets.where("size > 1"), "key").where("rep > least").select("rep", "least")
+    # checkpointed, here and below, so that both sides of the join come straight from
+    # a shuffle: only then can the partition of a busy band or component be split
+    links = keyed.join(materialise(buckets.where("size > 1")), "key").where("rep > least").select("rep", "least")
     return components(links, "rep", "least").select(F.col("node").alias("rep"), F.col("root").alias("comp"))
 
 
@@ -353,7 +355,9 @@ def _compared(
     chosen = chosen.withColumn("weight", F.col("n") + DOCUMENT_WEIGHT)
     placed = running_totals(chosen, ["comp", "n", "rep"], {"before": "weight"})
     placed = materialise(placed.withColumn("block", F.floor(F.col("before") / BLOCK_WEIGHT)))
-    reach = placed.groupBy("comp").agg(F.min("block").alias("first"), F.max("block").alias("final"))
+    reach = materialise(
+        placed.groupBy("comp").agg(F.min("block").alias("first"), F.max("block").alias("final"))
+    )
     placed = placed.join(reach, "comp").join(docs.withColumnRenamed("doc_id", "rep"), "rep")
     other = F.explode(F.sequence("first", "final"))
     paired = placed.withColumn("other", other).select(

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgeway.llm.common import Finished, open_store, packed, shared_folder, ship_package
+from ridgeway.operators.lineage import materialise
 
 CHUNK_BYTES = 256 * 1024
 READ_BYTES = 64 * 1024
@@ -60,7 +61,9 @@ def planned(
         .agg(F.max("page_id").alias("stored"), F.count(F.lit(1)).alias("pages"))
         .where("pages > 1")
     )
-    joined = rows.join(shared, "sha256", "left")
+    # checkpointed, so that both sides come straight from a shuffle: only then can
+    # the partition of a payload that many pages have be split
+    joined = rows.join(materialise(shared), "sha256", "left")
     other = F.col("stored").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("stored"))
     return joined.select(
         "page_id",
