@@ -6,26 +6,16 @@ from harness.plain import PLAIN
 from harness.queries import registered
 
 SMALL = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"segment_kmeans"}
 
+def test_every_query_has_sql():
+    assert set(registered()) == set(statements())
 
-def test_every_query_has_sql_except_the_trained_model():
-    assert set(registered()) - set(statements()) == WITHOUT_SQL
-    assert set(statements()) <= set(registered())
 
-
-@pytest.mark.parametrize("name", sorted(set(registered()) - WITHOUT_SQL))
+@pytest.mark.parametrize("name", sorted(registered()))
 def test_query_equals_its_sql(spark, name):
     assert compare(spark, SMALL, name, statements()[name]).startswith("ok")
 
 
-def test_trained_segments_cover_the_cohort_customers(spark):
-    result = registered()["segment_kmeans"](spark, SMALL).collect()
-    scored = registered()["segment_centroid"](spark, SMALL)
-    assert len(result) == scored.count()
-    assert all(0 <= r["label"] < 7 and r["cluster"] == r["categorie"][1] for r in result)
-
-
 @pytest.mark.parametrize("name", sorted(PLAIN))
 def test_direct_form_gives_the_same_rows(spark, rows, name):
     ours = registered()[name](spark, SMALL)
