@@ -56,10 +56,91 @@ WITH scaled AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+# Greedy filling is a reduction over the row of group ends; the binary search, the cuts
+# from the right and those from the left are recursions.
+SHARDING = """
+WITH RECURSIVE docs AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256(coalesce(text, '')) AS digest,
+           strlen(coalesce(text, '')) + 1 AS size
+    FROM documents
+), crc_table AS (
+    -- remainders of all bytes by the reflected polynomial of CRC-32
+    SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, i:
+               xor(c >> 1, (c & 1) * 3988292384)) ORDER BY b) AS t
+    FROM (SELECT CAST(range AS BIGINT) AS b FROM range(256))
+), summed AS (
+    SELECT doc_id, digest, size, xor(list_reduce(
+               list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+                   regexp_extract_all(hex(encode(text)), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+               lambda c, b: xor(c >> 8, t[CAST((xor(c, b) & 255) + 1 AS INTEGER)])), 4294967295) AS text_crc32
+    FROM docs, crc_table
+), groups AS (
+    SELECT digest, CAST(sum(size) AS BIGINT) AS bytes,
+           row_number() OVER (ORDER BY sum(size) DESC, digest) AS place
+    FROM docs GROUP BY digest
+), alone(n, total, stop) AS (
+    SELECT 0, (SELECT CAST(sum(bytes) AS BIGINT) FROM groups), FALSE
+    UNION ALL
+    SELECT n + (bytes * (16 - n) > total)::INT, total - CASE WHEN bytes * (16 - n) > total THEN bytes ELSE 0 END,
+           bytes * (16 - n) <= total
+    FROM alone JOIN groups ON place = n + 1 WHERE NOT stop
+), apart AS (
+    SELECT max(n) AS n FROM alone
+), rest AS (
+    SELECT digest, CAST(sum(bytes) OVER (ORDER BY digest) AS BIGINT) AS upto, bytes
+    FROM groups WHERE place > (SELECT n FROM apart)
+), row_of AS (
+    SELECT list_prepend(CAST(0 AS BIGINT), list(upto ORDER BY upto)) AS ends, CAST(sum(bytes) AS BIGINT) AS total,
+           16 - (SELECT n FROM apart) AS k
+    FROM rest
+), search(low, high) AS (
+    SELECT CAST(0 AS BIGINT), total FROM row_of
+    UNION ALL
+    SELECT CASE WHEN fits THEN low ELSE middle END, CASE WHEN fits THEN middle ELSE high END
+    FROM (
+        SELECT low, high, (low + high) // 2 AS middle,
+               list_reduce(list_prepend(CAST(0 AS BIGINT), range(k)), lambda pos, i:
+                   list_max(list_filter(ends, lambda e: e <= pos + (low + high) // 2))) = total AS fits
+        FROM search, row_of WHERE high - low > 1
+    )
+), capacity AS (
+    SELECT min(high) AS c FROM search
+), back(j, least) AS (
+    SELECT CAST(k AS BIGINT), total FROM row_of
+    UNION ALL
+    SELECT j - 1, list_min(list_filter(ends, lambda e: e >= least - c))
+    FROM back, row_of, capacity WHERE j > 1
+), cuts(j, pos) AS (
+    SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM row_of
+    UNION ALL
+    SELECT j + 1, CASE WHEN wanted - pos > c THEN list_max(list_filter(ends, lambda e: e <= pos + c)) ELSE wanted END
+    FROM (
+        SELECT j, pos, c, ends, greatest(least, CASE WHEN share - below <= above - share THEN below ELSE above END) AS wanted
+        FROM (
+            SELECT cuts.j, cuts.pos, c, ends, least, share,
+                   list_max(list_filter(ends, lambda e: e <= share)) AS below,
+                   list_min(list_filter(ends, lambda e: e >= share)) AS above
+            FROM (SELECT cuts.j, cuts.pos, pos + (total - pos + k - j - 1) // (k - j) AS share FROM cuts, row_of) cuts
+            JOIN back ON back.j = cuts.j + 1, row_of, capacity
+            WHERE cuts.j + 1 < k
+        )
+    )
+), dealt AS (
+    SELECT g.digest, CASE WHEN g.place <= n THEN g.place - 1
+               ELSE n + (SELECT count(*) FROM cuts WHERE j > 0 AND pos < rest.upto) END AS shard
+    FROM groups g CROSS JOIN apart LEFT JOIN rest USING (digest)
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM summed JOIN dealt USING (digest)
+"""
+
 
 def statements() -> dict[str, str]:
     return {
         "op4_warc_chunks": WARC,
         "op6_content_sort": CONTENT_SORT,
         "op10_impact_topk": IMPACT_TOPK,
+        "op13_sharding": SHARDING,
     }

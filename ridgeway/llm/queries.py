@@ -16,6 +16,7 @@ from ridgeway.llm import (
     license_scan,
     mixing,
     secret_scan,
+    sharding,
     token_counts,
     toxicity,
     warc,
@@ -99,6 +100,10 @@ def op10_impact_topk(spark: SparkSession, sf: str) -> DataFrame:
     return impact_topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
+def op13_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.places(table(spark, sf, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
@@ -111,4 +116,5 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": op8_secret_scan,
         "op9_license_scan": op9_license_scan,
         "op10_impact_topk": op10_impact_topk,
+        "op13_sharding": op13_sharding,
     }
