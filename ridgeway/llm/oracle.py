@@ -56,6 +56,46 @@ WITH scaled AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+COLLOCATIONS = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w
+    FROM documents
+), starts AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces
+), counted AS (
+    SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k, count(*) AS f
+    FROM starts, (SELECT unnest(range(1, 6)) AS k)
+    WHERE i + k - 1 <= len(w)
+    GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(f) AS n FROM counted WHERE k = 1 GROUP BY lang
+), frequent AS (
+    SELECT *, string_split(phrase, ' ') AS p FROM counted WHERE f >= 100
+), kept AS (
+    SELECT * FROM frequent c
+    WHERE k >= 2 AND NOT EXISTS (
+        SELECT 1 FROM frequent d
+        WHERE d.lang = c.lang AND d.k > c.k AND 100 * d.f >= 100 * c.f
+          AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' '))
+), cuts AS (
+    SELECT kept.lang, kept.phrase, kept.f AS a, j, l.f AS l, r.f AS r, n,
+           (1000 * kept.f::HUGEINT * n::HUGEINT) // (l.f::HUGEINT * r.f::HUGEINT) AS score
+    FROM kept CROSS JOIN (SELECT unnest(range(1, 5)) AS j) JOIN totals USING (lang)
+    JOIN frequent l ON l.lang = kept.lang AND l.phrase = array_to_string(kept.p[1:j], ' ')
+    JOIN frequent r ON r.lang = kept.lang AND r.phrase = array_to_string(kept.p[j + 1:], ' ')
+    WHERE j < kept.k
+), least AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least
+)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
 # Greedy filling is a reduction over the row of group ends; the binary search, the cuts
 # from the right and those from the left are recursions.
 SHARDING = """
@@ -142,5 +182,6 @@ def statements() -> dict[str, str]:
         "op4_warc_chunks": WARC,
         "op6_content_sort": CONTENT_SORT,
         "op10_impact_topk": IMPACT_TOPK,
+        "op12_collocations": COLLOCATIONS,
         "op13_sharding": SHARDING,
     }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ridgeway.llm import (
     bpe,
+    collocations,
     content_dedup,
     impact_topk,
     jaccard_join,
@@ -100,6 +101,10 @@ def op10_impact_topk(spark: SparkSession, sf: str) -> DataFrame:
     return impact_topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
+def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.mined(table(spark, sf, "documents"))
+
+
 def op13_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.places(table(spark, sf, "documents"))
 
@@ -116,5 +121,6 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": op8_secret_scan,
         "op9_license_scan": op9_license_scan,
         "op10_impact_topk": op10_impact_topk,
+        "op12_collocations": op12_collocations,
         "op13_sharding": op13_sharding,
     }
