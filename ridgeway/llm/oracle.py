@@ -56,6 +56,39 @@ WITH scaled AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+LEXICAL = """
+WITH counted AS (
+    SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+    FROM documents
+), docs AS (
+    SELECT place, doc_id, terms, len(terms) AS n FROM counted WHERE len(terms) > 0
+), size AS (
+    SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM docs
+), tf AS (
+    SELECT place, doc_id, n, term, count(*) AS tf
+    FROM (SELECT place, doc_id, n, unnest(terms) AS term FROM docs) GROUP BY ALL
+), df AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM tf, size GROUP BY term, docs
+), asked AS (
+    SELECT place AS item, item_id, unnest(list_distinct(regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))) AS term
+    FROM (SELECT *, row_number() OVER () AS place FROM benchmark)
+), scored AS (
+    SELECT item, item_id, place, doc_id, CAST(sum(w * ((1000000000 * tf)
+               // (1000 * tf + 20 * (50 + (50 * n * docs) // length)))) AS BIGINT) AS score
+    FROM asked JOIN tf USING (term) JOIN df USING (term), size
+    GROUP BY item, item_id, place, doc_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST) AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 COLLOCATIONS = """
 WITH pieces AS (
     SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
@@ -182,6 +215,7 @@ def statements() -> dict[str, str]:
         "op4_warc_chunks": WARC,
         "op6_content_sort": CONTENT_SORT,
         "op10_impact_topk": IMPACT_TOPK,
+        "op11_k2_treap": LEXICAL,
         "op12_collocations": COLLOCATIONS,
         "op13_sharding": SHARDING,
     }

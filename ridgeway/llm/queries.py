@@ -14,6 +14,7 @@ from ridgeway.llm import (
     content_dedup,
     impact_topk,
     jaccard_join,
+    k2_treap,
     license_scan,
     mixing,
     secret_scan,
@@ -101,6 +102,10 @@ def op10_impact_topk(spark: SparkSession, sf: str) -> DataFrame:
     return impact_topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
+def op11_k2_treap(spark: SparkSession, sf: str) -> DataFrame:
+    return k2_treap.ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations.mined(table(spark, sf, "documents"))
 
@@ -121,6 +126,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": op8_secret_scan,
         "op9_license_scan": op9_license_scan,
         "op10_impact_topk": op10_impact_topk,
+        "op11_k2_treap": op11_k2_treap,
         "op12_collocations": op12_collocations,
         "op13_sharding": op13_sharding,
     }
