@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 from ridgeway.llm.common import packed
 from ridgeway.operators.lineage import materialise
 
-# Name, pattern, group whose length counts, least length.
+# Name, pattern, group whose length counts, least length. Keys and hex runs
+# are maximal, so the least length may stand in the pattern: a shorter run matches nowhere.
+# An assignment that is too short still takes its text from later ones.
 BASE = (
     ("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6),
-    ("access", r"AKIA[A-Z0-9]+", 0, 20),
-    ("hex", r"[0-9a-f]+", 0, 24),
+    ("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
+    ("hex", r"[0-9a-f]{24,}", 0, 24),
 )
 #: Patterns that match wherever a match of the kind is long enough, and are cheaper.
 GATES = (
@@ -42,27 +44,50 @@ SMOOTHING = 0.5
 LEAST_RATIO = 15.0
 
 
+def _running(values: Column, combine) -> Column:
+    """Inclusive running results of an associative function over an array.
+
+    Each step combines every element with that 1, 2, 4, ... places before it, so the
+    number of steps is the logarithm of the length and no array grows by appending.
+    """
+    steps = F.ceil(F.log2(F.greatest(F.size(values), F.lit(2)).cast("double"))).cast("int")
+
+    def step(so_far: Column, k: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            before = F.get(so_far, i - F.call_function("shiftleft", F.lit(1), k))
+            return F.when(before.isNull(), x).otherwise(combine(before, x))
+
+        return F.transform(so_far, one)
+
+    return F.aggregate(F.sequence(F.lit(0), steps - 1), values, step)
+
+
 def _matches(text: Column, pattern: str, group: int) -> Column:
     """``start, end, value`` of the leftmost non-overlapping matches, in code points.
 
-    The pieces between matches are one more than the matches, so the lengths of both
-    add up to the positions.
+    The pieces between matches are one more than the matches, so the running lengths of
+    both are the positions.
     """
     rx = F.lit(pattern)
     whole = F.regexp_extract_all(text, rx, F.lit(0))
     value = F.regexp_extract_all(text, rx, F.lit(group))
     pieces = F.split(text, pattern, -1)
-    rows = F.arrays_zip(whole.alias("whole"), value.alias("value"), F.slice(pieces, F.lit(1), F.size(whole)).alias("piece"))
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
-
-    def add(a: Column, m: Column) -> Column:
-        start = a["at"] + F.length(m["piece"])
-        end = start + F.length(m["whole"])
-        span = F.struct(start.alias("start"), end.alias("end"), m["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(a["spans"], F.array(span)).alias("spans"))
-
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("spans"))
-    return F.aggregate(rows, start, add, lambda a: a["spans"])
+    each = F.zip_with(
+        F.slice(pieces, F.lit(1), F.size(whole)),
+        whole,
+        lambda piece, match: F.struct(
+            F.length(match).cast("bigint").alias("size"),
+            (F.length(piece) + F.length(match)).cast("bigint").alias("end"),
+        ),
+    )
+    placed = _running(
+        each, lambda a, b: F.struct(b["size"].alias("size"), (a["end"] + b["end"]).alias("end"))
+    )
+    return F.zip_with(
+        placed,
+        value,
+        lambda p, v: F.struct((p["end"] - p["size"]).alias("start"), p["end"].alias("end"), v.alias("value")),
+    )
 
 
 def _gated(text: Column, gate: str, pattern: str, group: int, least: int) -> Column:
@@ -176,14 +201,45 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     named = F.concat(
         *[_named(kind, rank) for rank, (kind, *_) in enumerate(BASE)]
     )
-    rows = spans.select("doc_id", named.alias("base"), "long")
+    long = F.transform("long", lambda s: _span(s, len(BASE), MARKOV))
+    everything = F.sort_array(F.concat(named, long))
+    # most rows have spans of one sort only, and nothing to compare
+    mixed = (F.size("long") > 0) & (F.size(named) > 0)
+    free = F.when(mixed, _uncovered(everything)).otherwise(everything)
     likely = F.filter(
-        "long",
-        lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        & (log_ratio(s["value"], table) >= LEAST_RATIO),
+        free, lambda s: (s["rank"] < len(BASE)) | (log_ratio(s["value"], table) >= LEAST_RATIO)
+    )
+    return spans.select("doc_id", likely.alias("spans"))
+
+
+def _uncovered(spans: Column) -> Column:
+    """Sorted spans without the long tokens that share a place with a base span.
+
+    Such a base span starts before the token does and ends after its start, or is the next
+    one to start and does so before the token's end.
+    """
+
+    def reach(s: Column) -> Column:
+        base = s["rank"] < len(BASE)
+        return F.struct(
+            F.when(base, s["end"]).otherwise(F.lit(-1)).alias("end"),
+            F.when(base, s["start"]).otherwise(F.lit(1 << 60)).alias("start"),
+        )
+
+    def farthest(a: Column, b: Column) -> Column:
+        return F.struct(
+            F.greatest(a["end"], b["end"]).alias("end"), F.least(a["start"], b["start"]).alias("start")
+        )
+
+    ends = _running(F.transform(spans, reach), farthest)
+    starts = F.reverse(_running(F.transform(F.reverse(spans), reach), farthest))
+    both = F.arrays_zip(spans.alias("span"), ends.alias("before"), starts.alias("after"))
+    kept = F.filter(
+        both,
+        lambda x: (x["span"]["rank"] < len(BASE))
+        | ((x["before"]["end"] <= x["span"]["start"]) & (x["after"]["start"] >= x["span"]["end"])),
     )
-    likely = F.transform(likely, lambda s: _span(s, len(BASE), MARKOV))
-    return rows.select("doc_id", F.sort_array(F.concat("base", likely)).alias("spans"))
+    return F.transform(kept, lambda x: x["span"])
 
 
 def _named(kind: str, rank: int) -> Column:
