@@ -19,7 +19,9 @@ import hashlib
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,7 @@ CHUNK_BYTES = 256 * 1024
 READ_BYTES = 64 * 1024
 ROWS_PER_BATCH = 2_000
 BYTES_PER_BATCH = 8_000_000
+ROW_BYTES = 1_000
 GZIP_LEVEL = 3
 GZIP = 16 + zlib.MAX_WBITS
 DATE = "2000-01-01T00:00:00Z"
@@ -100,15 +103,14 @@ def write(chunks: DataFrame, folder: str) -> DataFrame:
         name = f"part-{TaskContext.get().partitionId():06d}.warc.gz"
         records, member = 0, None
         with Finished(folder, name) as out:
-            for batch in batches:
-                for row in batch.to_pylist():
-                    if row["chunk_no"] == 0:
-                        if member:
-                            out.write(member.compress(b"\r\n\r\n") + member.flush())
-                        member = zlib.compressobj(GZIP_LEVEL, zlib.DEFLATED, GZIP)
-                        out.write(member.compress(header(row)))
-                        records += 1
-                    out.write(member.compress(row["data"]))
+            for row in _one_by_one(batches):
+                if row["chunk_no"] == 0:
+                    if member:
+                        out.write(member.compress(b"\r\n\r\n") + member.flush())
+                    member = zlib.compressobj(GZIP_LEVEL, zlib.DEFLATED, GZIP)
+                    out.write(member.compress(header(row)))
+                    records += 1
+                out.write(member.compress(row["data"]))
             if member:
                 out.write(member.compress(b"\r\n\r\n") + member.flush())
         yield pa.RecordBatch.from_pydict({"archive": [f"{folder}/{name}"], "records": [records]})
@@ -116,6 +118,16 @@ def write(chunks: DataFrame, folder: str) -> DataFrame:
     return chunks.mapInArrow(run, "archive string, records bigint")
 
 
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows as Python objects, at most ``BYTES_PER_BATCH`` of data and a chunk at a time."""
+    for batch in batches:
+        sizes = pc.binary_length(batch["data"]).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes + ROW_BYTES) // BYTES_PER_BATCH
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield from batch.slice(a, b - a).to_pylist()
+
+
 def base32(sha1_hex: str) -> str:
     return base64.b32encode(bytes.fromhex(sha1_hex)).decode()
 
@@ -299,8 +311,9 @@ def round_trip(spark: SparkSession, pages: DataFrame, least_bytes: int = 0) -> D
     gives an empty result.
     """
     folder = shared_folder(spark, "warc")
-    archives = write(chunked(planned(pages, least_bytes)), folder)
-    written = archives.where("records > 0")
+    # the checkpoint writes; archives are read in a stage of their own, so that no core
+    # keeps a writing and a reading worker at once
+    written = materialise(write(chunked(planned(pages, least_bytes)), folder).where("records > 0"))
     chunks = read(written, data=False).where("last")
     whole = (F.col("stored_bytes") == F.col("payload_bytes")) & (
         F.col("running_sha1") == F.col("payload_digest")
