@@ -458,6 +458,10 @@ def statements() -> dict[str, str]:
             {', '.join(f'(event_id * {i + 3}) % 1009 AS {n}' for i, n in enumerate(ACTIVITY) if i)}
             FROM events WHERE {number('user_id')} {IN_COHORT}
               AND ts >= DATE '2024-01-01' AND ts < DATE '2024-01-11'""",
+        "activity_by_user": f"""SELECT {number('user_id')} AS mmid, ts AS datedata,
+            {', '.join(f'(event_id * {i + 3}) % 1009 AS {n}' for i, n in enumerate(ACTIVITY) if 0 < i < len(ACTIVITY) - 1)}
+            FROM events WHERE {number('user_id')} {IN_COHORT}
+              AND ts >= DATE '2024-01-03' AND ts < DATE '2024-01-09'""",
         "msisdn_normalise_all": f"""SELECT c_custkey, number, {c.format('number')} AS canonical,
             {by_class('number')} AS by_class, {by_class('number', True)} AS by_class_strict,
             {by_length('number')} AS by_length,
@@ -561,6 +565,26 @@ def statements() -> dict[str, str]:
                 JOIN (SELECT CAST(DATE '1998-06-08' - 7 * CAST(i AS INTEGER) AS DATE) AS s
                       FROM range(0, 59) t(i)) ON start_time >= s AND start_time < s + 7)""",
         ),
+        "history_telecom_data": f"""SELECT {day('s')} AS period_start, {day('s + 6')} AS period_end,
+            category, msisdn, count(bytes) AS n_exch_data,
+            CAST(sum(bytes) AS BIGINT) AS bytes_sum, {described('bytes')},
+            {described('conso_mb', sums=True)} FROM categorised
+            JOIN (SELECT CAST(DATE '1998-06-08' - 7 * CAST(i AS INTEGER) AS DATE) AS s
+                  FROM range(0, 59) t(i)) ON start_time >= s AND start_time < s + 7
+            WHERE service = 'DATA' AND universe = 'MOBILE' AND msisdn {IN_COHORT}
+            GROUP BY s, category, msisdn""",
+        "overlapping_edges": f"""SELECT {day('s - 21')} AS period_start, {day('s + 6')} AS period_end,
+            l_returnflag AS transaction_tag,
+            '22507' || right({number('o_custkey', '07')}, 8) AS src,
+            '22507' || right({number('l_partkey', '07')}, 8) AS dst,
+            count(l_extendedprice) AS nbr_transactions,
+            {r('sum(l_extendedprice)')} AS total_transaction,
+            count(l_extendedprice * l_tax) AS nbr_service_charge,
+            {r('sum(l_extendedprice * l_tax)')} AS total_service_charge
+            FROM order_lines JOIN (SELECT CAST(DATE '1998-06-08' - 7 * CAST(i AS INTEGER) AS DATE) AS s
+              FROM range(0, 26) t(i)) ON o_orderdate >= s - 21 AND o_orderdate < s + 7
+            WHERE NOT (l_linestatus = 'O' AND l_discount = 0) AND l_linenumber <> 7
+            GROUP BY s, l_returnflag, o_custkey, l_partkey""",
         "telecom_voix": peer_stats("VOIX", "sum(duration)", "total_duration_voix"),
         "telecom_data": f"""SELECT category, msisdn, count(bytes) AS n_exch_data,
             CAST(sum(bytes) AS BIGINT) AS bytes_sum, {described('bytes')},
@@ -623,6 +647,12 @@ def statements() -> dict[str, str]:
               FROM range(0, 345) t(i))
             ON o_orderdate >= s AND o_orderdate < s + 7
             GROUP BY s, o_orderpriority""",
+        "late_day_profile": f"""SELECT {day('s')} AS period_start, {day('s + 6')} AS period_end,
+            o_orderpriority, count(o_totalprice) AS n_o_totalprice, {described('o_totalprice')}
+            FROM orders JOIN (SELECT CAST(DATE '1998-03-30' - 7 * CAST(i AS INTEGER) AS DATE) AS s
+              FROM range(0, 13) t(i))
+            ON o_orderdate >= s AND o_orderdate < s + 7
+            GROUP BY s, o_orderpriority""",
         "usage_measures": f"""SELECT msisdn, {r('mnt_transactions')} AS mnt_transactions,
             {r('mnt_transactions_my')} AS mnt_transactions_my,
             {r('mnt_transactions_max')} AS mnt_transactions_max,
@@ -633,6 +663,8 @@ def statements() -> dict[str, str]:
         "segment_kmeans": f"""SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_not_nearest,
             CAST(0 AS BIGINT) AS n_unnamed FROM ({features_sql()}) WHERE msisdn {IN_COHORT}""",
     }
+    sql["file_published"] = sql["file_partitioned_csv"]
+    sql["cohort_sifted"] = sql["cohort_semi"]
     sql["graph_triangles_salted"] = sql["graph_triangles"]
     return {
         name: text if text.startswith("WITH") else with_tables(text) for name, text in sql.items()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -19,8 +18,10 @@ from ridgeway.operators import calendar as C
 from ridgeway.operators import graph as G
 from ridgeway.operators import reshape as R
 from ridgeway.operators import segment as M
+from ridgeway.operators import states as T
 from ridgeway.operators.aggregates import count_and_sum, event_count, lookup_label
-from ridgeway.operators.cohort import complete_with_cohort, restrict_to_cohort
+from ridgeway.operators.cohort import SIEVE_WORDS, complete_with_cohort, restrict_to_cohort
+from ridgeway.operators.lineage import shared_base
 from ridgeway.operators.profile import profile
 from ridgeway.operators.triangles import with_triangles
 from ridgeway.plans import lines, recharge, segments, social, subscribers, usage, wallet
@@ -65,7 +66,7 @@ def profile_large_groups(spark, sf):
     rows = S.read(spark, sf, "lineitem").repartition(8, "l_orderkey")
     return profile(
         rows, ["l_returnflag"], ["l_extendedprice", "l_tax"], {"n_lines": "l_orderkey"},
-        sums=True, piece_partitions=1,
+        sums=True, most_listed=0,
     )
 
 
@@ -124,9 +125,7 @@ def bill_payments(spark, sf):
 # -- files ------------------------------------------------------------------
 def _folder(spark, name):
     """A new folder for a round trip, below the session's shared one if it has any."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    base = base or "file://" + tempfile.mkdtemp(prefix="ridgeway-")
-    return files.result_path(f"{base}/{uuid.uuid4().hex}", name)
+    return files.result_path(f"{shared_base(spark).rstrip('/')}/{uuid.uuid4().hex}", name)
 
 
 def file_partitioned_csv(spark, sf):
@@ -143,6 +142,21 @@ def file_partitioned_csv(spark, sf):
     )
 
 
+def file_published(spark, sf):
+    """Four weeks of activity in two overlapping deliveries, each visible as a whole."""
+    path = _folder(spark, "published")
+    for end, depth in (("20240121", 3), ("20240128", 2)):
+        periods = C.plan_periods(spark, "history", end=end, depth=depth)
+        rows = usage.activity_extract(
+            S.activity(spark, sf), S.cohort(spark, sf), periods, columns=["datedata", "nbcashin", "volcashin"]
+        )
+        files.publish(files.with_period_name(rows), path, "period")
+    back = files.read_published(spark, path)
+    return back.groupBy("period").agg(
+        F.count("mmid").alias("n_rows"), F.sum(F.col("volcashin").cast("bigint")).alias("total")
+    )
+
+
 def file_plain_csv(spark, sf):
     """Headerless part files, read again by position."""
     path = _folder(spark, "locations")
@@ -233,6 +247,39 @@ def history_telecom_sms(spark, sf):
     return social.telecom_indicators(_records(spark, sf), S.cohort(spark, sf), "SMS", periods)
 
 
+def history_telecom_data(spark, sf):
+    """Data sessions over the 59 weeks of history."""
+    periods = C.plan_periods(spark, "history", end="19980614", depth=C.HISTORY_WEEKS)
+    return social.telecom_indicators(_records(spark, sf), S.cohort(spark, sf), "DATA", periods)
+
+
+def overlapping_edges(spark, sf):
+    """Wallet edges over 26 ranges of four weeks, a week apart."""
+    weeks = C.weeks_back(F.lit("1998-06-14").cast("date"), 26)
+    ranges = F.transform(
+        weeks,
+        lambda w: F.struct(
+            F.date_sub(w[C.PERIOD[0]], 21).alias(C.PERIOD[0]), w[C.PERIOD[1]].alias(C.PERIOD[1])
+        ),
+    )
+    return social.wallet_edges(_graph_tx(spark, sf), periods=C.calendar(spark, ranges))[0]
+
+
+def late_day_profile(spark, sf):
+    """Weekly profiles from day states, one of which was written late: the day's orders
+    with an odd key come in a second delivery, which recomputes that day alone."""
+    first, late, last = "19980105", "19980211", "19980405"
+    orders = S.read(spark, sf, "orders")
+    keys, metrics = ["o_orderpriority"], ["o_totalprice"]
+    path = _folder(spark, "states")
+    missing = P.in_days(F.col("o_orderdate"), late, late) & (F.col("o_orderkey") % 2 == 1)
+    early = T.day_states(orders.where(~missing), "o_orderdate", keys, metrics, (first, last))
+    T.write_states(early, path)
+    T.write_states(T.day_states(orders, "o_orderdate", keys, metrics, (late, late)), path)
+    weeks = C.plan_periods(spark, "history", end=last, depth=13)
+    return T.profile_of_states(T.read_states(spark, path), keys, metrics, weeks)
+
+
 def wallet_arpu_range(spark, sf):
     """As ``wallet_arpu``, over days that cut most rows."""
     return wallet.wallet_arpu(S.wallet_tx(spark, sf), S.cohort(spark, sf), ("19970301", "19970831"))
@@ -242,6 +289,14 @@ def activity_full_width(spark, sf):
     return usage.activity_extract(S.activity(spark, sf), S.cohort(spark, sf), ("20240101", "20240110"))
 
 
+def activity_by_user(spark, sf):
+    """The activity table that is keyed by ``user_id`` and has no group."""
+    rows = S.activity(spark, sf).drop("group_id").withColumnRenamed("mmid", "user_id")
+    return usage.activity_extract(
+        rows, S.cohort(spark, sf), ("20240103", "20240108"), "user_id", usage.COLUMNS_WITHOUT_GROUP
+    )
+
+
 # -- functions and filters --------------------------------------------------
 def msisdn_normalise_all(spark, sf):
     key = S.digits("c_custkey")
@@ -377,6 +432,13 @@ def cohort_semi(spark, sf):
     return count_and_sum(kept, ["msisdn"], "transaction_amount", "n_sent", "total_sent")
 
 
+def cohort_sifted(spark, sf):
+    """As ``cohort_semi``, with a Bloom filter of the cohort in front of the join."""
+    tx = S.wallet_tx(spark, sf).withColumn("msisdn", N.canonical(F.col("sender_msisdn")))
+    kept = restrict_to_cohort(tx, S.cohort(spark, sf), sieve_words=SIEVE_WORDS)
+    return count_and_sum(kept, ["msisdn"], "transaction_amount", "n_sent", "total_sent")
+
+
 def cohort_outer_complete(spark, sf):
     return complete_with_cohort(cohort_semi(spark, sf), S.cohort(spark, sf))
 
@@ -437,9 +499,9 @@ def graph_triangles(spark, sf):
 
 
 def graph_triangles_salted(spark, sf):
-    """As ``graph_triangles``, with salts from a few dozen edges on."""
+    """As ``graph_triangles``, on a grid of many small cells."""
     rows = S.edges(spark, sf)
-    return with_triangles(G.vertices_of(rows), rows, edges_per_salt=20)
+    return with_triangles(G.vertices_of(rows), rows, edges_per_cell=2_000)
 
 
 def graph_indicators(spark, sf):
@@ -578,8 +640,9 @@ def registered() -> dict[str, Query]:
         wallet_profile, wallet_arpu, profile_large_groups, transfer_profile,
         transfer_profile_per_direction, recharge_weekly_profile, recharge_tag_profile,
         recharge_strict_tag_profile, subscription_mix, activity_extract, data_usage_profile, bill_payments,
-        file_partitioned_csv, file_plain_csv, file_cohort, wallet_arpu_range, activity_full_width, backfill_locations, backfill_value_segments,
-        backfill_wallet_arpu, history_telecom_sms, line_base_tdd, line_base_ftth,
+        file_partitioned_csv, file_published, file_plain_csv, file_cohort, wallet_arpu_range, activity_full_width, backfill_locations, backfill_value_segments,
+        backfill_wallet_arpu, history_telecom_sms, history_telecom_data, overlapping_edges,
+        late_day_profile, activity_by_user, cohort_sifted, line_base_tdd, line_base_ftth,
         value_segments, multi_flag, fleet_flag, geo_location, line_base_one_contact,
         line_base_two_contacts, msisdn_normalise_all, label_functions, day_range_filter,
         transaction_filters, open_records, category_service_filter, optional_filters,

@@ -2,21 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
 
+from pyspark.sql import DataFrame, SparkSession
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the cluster's shared folder, if it names one.
 
-    The folder is ``spark.checkpoint.dir``. Without one the frame is returned
-    as it is: every branch then recomputes it, which is slower but equally
-    right and survives lost executors.
+def shared_base(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or what
+    ``setCheckpointDir`` named.
+
+    Where neither is set, as in tests, a session on one machine gets a temporary folder;
+    on a cluster there is no folder that would do, so that is an error.
     """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if not folder:
-        return df if context.getCheckpointDir() is None else df.checkpoint()
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = "file://" + tempfile.mkdtemp(prefix="ridgeway-shared-")
+    context.setCheckpointDir(folder)
+    return folder
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint below :func:`shared_base`. Branches that read the result see
+    the same rows in the same partitions, also after an executor is lost."""
+    spark = df.sparkSession
+    folder = shared_base(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()

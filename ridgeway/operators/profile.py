@@ -1,19 +1,21 @@
 """Percentile profile: count, mean, deviation and exact percentiles per group.
 
-One lazy plan serves every group; nothing runs when it is built.
-
-1. Rows are labelled with a *piece*, a run of ``PIECE_PARTITIONS`` neighbouring input
-   partitions, and meet by (group, piece). A task so gathers at most what that many
-   input partitions hold of a group, whatever the group's size. Per piece, values are
-   collected as sorted lists next to the moments.
-2. A group that came from one piece is finished: its percentiles are read off by
-   position. That is the usual case.
-3. Groups of several pieces spread their values again, by (group, metric, cell), where
-   a cell is an interval of values and equal values are counted before the shuffle.
-   Running totals over cells, and over the values inside a cell, give every value its
-   rank. No step brings a group into one task.
-
-The same exchange of step 1 feeds both branches, so the input is read once.
+One lazy plan serves every group, however its rows lie in the input; nothing runs when
+it is built.
+
+1. One aggregate, combined before its exchange, gives every group its counts and
+   moments, and the sorted values of its metrics, from which percentiles are read by
+   position. This is the only exchange of all values.
+2. What must not be gathered is a group of more than ``MOST_LISTED`` rows. Such groups
+   are found by a count of rows per key beforehand and their values are left out of the
+   lists. Their percentiles are selected exactly: values are counted by cell (an interval
+   of values), running totals tell in which cells the wanted ranks lie, and only the
+   values of those few cells are ranked.
+
+The table of outsized groups is broadcast; it has at most ``MOST_OUTSIZED`` rows by
+construction, taking the largest groups first. A group that finds no place in it has less
+than that fraction of all rows and is listed. While there is no outsized group, adaptive
+execution drops step 2.
 """
 
 from __future__ import annotations
@@ -24,7 +26,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 APPROX_ACCURACY = 10_000
-PIECE_PARTITIONS = 16
+#: Rows up to which a group's values are listed.
+MOST_LISTED = 1 << 20
+#: Groups beyond that which are told apart, the largest first.
+MOST_OUTSIZED = 1 << 17
 #: Cells per factor e of a value's magnitude.
 CELLS = 4_096
 POINTS = {0.0: "p0", 0.25: "p25", 0.5: "p50", 0.75: "p75", 1.0: "p100"}
@@ -59,7 +64,7 @@ def profile(
     counts: Mapping[str, str | Column] | None = None,
     sums: bool = False,
     approx: bool = False,
-    piece_partitions: int = PIECE_PARTITIONS,
+    most_listed: int = MOST_LISTED,
 ) -> DataFrame:
     """Describe every metric per group.
 
@@ -91,74 +96,49 @@ def profile(
             F.percentile_approx(m, list(QUANTILES), APPROX_ACCURACY).alias(f"{m}_points")
             for m in metrics
         ]
-        return _expand(rows.groupBy(*keys).agg(*plain, *points), metrics).select(*wanted)
-
-    piece = F.floor(F.spark_partition_id() / piece_partitions)
-    packed = rows.select(*keys, piece.alias(PIECE), F.struct(*metrics, *counted).alias(CELLS_OF))
-    met = packed.repartition(*keys, PIECE)
-    pieces = _pieces(met, keys, metrics, counted, sums)
-    several = (
-        met.groupBy(*keys, PIECE)
-        .agg(F.min(F.xxhash64(CELLS_OF)).alias("any"))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(SEVERAL), F.min("any").alias("any"))
-        # the second condition always holds; it makes this branch read the columns
-        # that the other one reads, so that both share one exchange
-        .where(f"{SEVERAL} > 1 AND any IS NOT NULL")
-        .drop("any")
+        return spread_points(rows.groupBy(*keys).agg(*plain, *points), metrics).select(*wanted)
+
+    large = F.broadcast(outsized(rows, keys, most_listed))
+    marked = rows.alias("r").join(large.alias("l"), null_safe(keys, "r", "l"), "left")
+    marked = marked.select("r.*", F.col(f"l.{ROWS}").isNull().alias(LISTED))
+    lists = [
+        F.sort_array(F.collect_list(F.when(F.col(LISTED), F.col(m).cast("double")))).alias(f"{m}_list")
+        for m in metrics
+    ]
+    whole = marked.groupBy(*keys).agg(*plain, *lists)
+    selected = F.broadcast(_selected(rows, large, keys, metrics))
+    joined = whole.alias("w").join(selected.alias("s"), null_safe(keys, "w", "s"), "left")
+    found = joined.select(
+        "w.*",
+        *[
+            F.coalesce(F.col(f"s.{m}_points"), points_of_sorted(f"w.{m}_list")).alias(f"{m}_points")
+            for m in metrics
+        ],
     )
-    marked = pieces.alias("p").join(several.alias("s"), null_safe(keys, "p", "s"), "left")
-    marked = marked.select("p.*", f"s.{SEVERAL}")
-    single = marked.where(F.col(SEVERAL).isNull())
-    single = single.withColumns({f"{m}_points": _of_sorted(f"{m}_list") for m in metrics})
-    split = marked.where(F.col(SEVERAL).isNotNull())
-    merged = _merged(split, keys, metrics, list(counted), sums)
-    return _expand(single, metrics).select(*wanted).unionByName(_expand(merged, metrics).select(*wanted))
+    return spread_points(found, metrics).select(*wanted)
 
 
-PIECE, CELLS_OF, SEVERAL = "__piece", "__cells", "__pieces"
+ROWS, LISTED = "__rows", "__listed"
 
 
-def _pieces(
-    met: DataFrame, keys: Sequence[str], metrics: Sequence[str], counted: Mapping[str, Column], sums: bool
-) -> DataFrame:
-    """One row per group and piece: counts, moments and a sorted list per metric."""
-    rows = met.select(*keys, PIECE, f"{CELLS_OF}.*")
-    plain = [F.count(name).alias(name) for name in counted]
-    plain += [column for metric in metrics for column in _moments(metric, sums)]
-    lists = [F.sort_array(F.collect_list(F.col(m).cast("double"))).alias(f"{m}_list") for m in metrics]
-    return rows.groupBy(*keys, PIECE).agg(*plain, *lists)
+def outsized(rows: DataFrame, keys: list[str], most_listed: int) -> DataFrame:
+    """The keys of groups with more than ``most_listed`` rows; reads the keys only. Ties
+    are broken by the keys, so that every use of the result sees the same groups."""
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS)).where(F.col(ROWS) > most_listed)
+    return counted.orderBy(F.desc(ROWS), *keys).limit(MOST_OUTSIZED)
 
 
-def _merged(
-    pieces: DataFrame, keys: list[str], metrics: list[str], counts: list[str], sums: bool
-) -> DataFrame:
-    """Counts, moments and ``<metric>_points`` of groups from their pieces."""
-    kinds = {f.name: f.dataType for f in pieces.schema}
-    totals = [*counts, *[f"{m}_sum" for m in metrics if sums]]
-    added = pieces.groupBy(*keys).agg(*[F.sum(t).cast(kinds[t]).alias(t) for t in totals])
-    lists = [F.struct(F.lit(m).alias("metric"), F.col(f"{m}_list").alias("list")) for m in metrics]
-    values = pieces.select(*keys, F.inline(F.array(*lists))).select(
-        *keys, "metric", F.explode("list").alias("value")
-    )
-    moments = values.groupBy(*keys, "metric").agg(
-        F.avg("value").alias("avg"), F.stddev_samp("value").alias("std")
-    )
-    found = moments.alias("m").join(
-        _ranked_points(values, keys).alias("r"), null_safe([*keys, "metric"], "m", "r")
-    )
-    found = found.select("m.*", "r.points")
+def _selected(rows: DataFrame, large: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
+    """``keys`` and ``<metric>_points`` of outsized groups: one row each."""
+    own = rows.alias("r").join(large.alias("l"), null_safe(keys, "r", "l"))
+    each = [F.struct(F.lit(m).alias("metric"), F.col(f"r.{m}").cast("double").alias("value")) for m in metrics]
+    values = own.select(*[f"r.{k}" for k in keys], F.inline(F.array(*each))).where("value IS NOT NULL")
+    points = _ranked_points(values, keys)
 
-    def of(metric: str, column: str) -> Column:
-        return F.max(F.when(F.col("metric") == metric, F.col(column)))
+    def of(metric: str) -> Column:
+        return F.max(F.when(F.col("metric") == metric, F.col("points")))
 
-    wide = found.groupBy(*keys).agg(
-        *[of(m, c).cast(kinds[f"{m}_{c}"]).alias(f"{m}_{c}") for m in metrics for c in ("avg", "std")],
-        *[of(m, "points").alias(f"{m}_points") for m in metrics],
-    )
-    joined = added.alias("a").join(wide.alias("w"), null_safe(keys, "a", "w"), "left")
-    made = [f"w.{m}_{c}" for m in metrics for c in ("avg", "std", "points")]
-    return joined.select("a.*", *made)
+    return points.groupBy(*keys).agg(*[of(m).alias(f"{m}_points") for m in metrics])
 
 
 def _cell(value: Column) -> Column:
@@ -170,27 +150,32 @@ def _cell(value: Column) -> Column:
 
 
 def _ranked_points(values: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys, metric, points`` from the ranks of all values."""
+    """``keys, metric, points`` by selection: first the cells of the wanted ranks, then
+    the values inside them. Cells are a function of the value alone."""
     group = [*keys, "metric"]
-    counted = values.groupBy(*group, _cell(F.col("value")).alias("cell"), "value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    cells = counted.groupBy(*group, "cell").agg(F.sum("n").alias("n"))
+    celled = values.withColumn("cell", _cell(F.col("value")))
+    cells = celled.groupBy(*group, "cell").agg(F.count(F.lit(1)).alias("n"))
     whole = Window.partitionBy(*group)
     before = whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select(
         *group,
         "cell",
+        "n",
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"),
         F.sum("n").over(whole).alias("all"),
     )
-    inside = (
+    inside = (F.col("base"), F.col("base") + F.col("n"))
+    wanted = cells.where(F.exists(_ranks(), lambda r: (r >= inside[0]) & (r < inside[1])))
+    wanted = wanted.select(*group, "cell", "base", "all")
+    near = celled.alias("v").join(wanted.alias("c"), null_safe([*group, "cell"], "v", "c"), "left_semi")
+    counted = near.groupBy(*group, "cell", "value").agg(F.count(F.lit(1)).alias("n"))
+    order = (
         Window.partitionBy(*group, "cell")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    placed = counted.withColumn("at", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    ranked = placed.alias("v").join(cells.alias("c"), null_safe([*group, "cell"], "v", "c"))
+    placed = counted.withColumn("at", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    ranked = placed.alias("v").join(wanted.alias("c"), null_safe([*group, "cell"], "v", "c"))
     ranked = ranked.select("v.*", "c.all", (F.col("c.base") + F.col("v.at")).alias("first"))
     held = F.filter(
         _ranks(), lambda r: (r >= F.col("first")) & (r < F.col("first") + F.col("n"))
@@ -225,7 +210,7 @@ def _between(low: Column, high: Column, part: Column) -> Column:
     )
 
 
-def _of_sorted(values: str) -> Column:
+def points_of_sorted(values: Column | str) -> Column:
     """Interpolated percentiles of a sorted array, NULLs if it is empty."""
 
     def at(q: Column) -> Column:
@@ -236,7 +221,7 @@ def _of_sorted(values: str) -> Column:
     return F.transform(F.array(*[F.lit(q) for q in QUANTILES]), at)
 
 
-def _expand(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
+def spread_points(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """Spread each array of percentiles over its named columns."""
     return df.withColumns(
         {

@@ -1,19 +1,25 @@
 """Triangles per vertex, built to stand very busy vertices.
 
-Direction, parallel edges and self-loops are ignored. Every undirected edge
-points from its end of lower (degree, id) to the other, so a vertex has at most
-sqrt(2 * edges) onward neighbours whatever its degree; only those short lists
-are ever gathered. A triangle is an edge whose two ends share an onward
-neighbour, found by intersecting two lists: no pairs of neighbours are listed.
-
-Degrees join by shuffle, where adaptive execution splits the partitions of a busy
-vertex. A vertex's onward list is copied once per ``EDGES_PER_SALT`` edges it has, and
-arriving edges choose a copy by hash, so the edges of a busy vertex spread over many
-tasks. All vertices are treated alike.
+Direction, parallel edges and self-loops are ignored. Every undirected edge points from
+its end of lower (degree, id) to the other, so a vertex has at most sqrt(2 * edges)
+onward neighbours whatever its degree. A triangle is then an edge ``u -> v`` whose ends
+share an onward neighbour ``w``.
+
+Vertices are hashed into ``side`` buckets, which lays the edges out on a grid of
+``side x side`` blocks. A cell of work belongs to three buckets ``(i, j, k)`` and gets
+three blocks: ``u -> v`` from (i, j), ``u -> w`` from (i, k) and ``v -> w`` from (j, k).
+Each edge is sent, as two identifiers, to the ``3 * side`` cells that need it. Lists of
+neighbours are made inside a cell, after that shuffle, and never leave it: the two joins
+and the intersection run on the partitioning by cell. A busy vertex lies in ``side ** 2``
+cells. Only what is found leaves a cell, as counts.
+
+``spark.sql.requireAllClusterKeysForCoPartition`` has to be off (as ``build_session``
+sets it) for the joins to use the partitioning by cell. Results do not depend on it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +27,9 @@ from pyspark.sql import functions as F
 
 from ridgeway.operators.lineage import materialise
 
-EDGES_PER_SALT = 10_000
+#: Narrow edge rows of a cell, and fewest buckets (their cube is the number of cells).
+EDGES_PER_CELL = 20_000_000
+FEWEST_BUCKETS = 2
 
 
 def undirected(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -31,7 +39,7 @@ def undirected(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def orient(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Edges ``low -> high`` by (degree, id), with both degrees."""
+    """Edges ``low -> high`` by (degree, id)."""
     degree = (
         pairs.select(*by, F.explode(F.array("a", "b")).alias("id"))
         .groupBy(*by, "id")
@@ -50,37 +58,47 @@ def orient(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         *by,
         end("a", "b").alias("low"),
         end("b", "a").alias("high"),
-        end("a_degree", "b_degree").alias("low_degree"),
-        end("b_degree", "a_degree").alias("high_degree"),
     )
 
 
+def grid_side(n_edges: int, edges_per_cell: int = EDGES_PER_CELL) -> int:
+    """Buckets with which ``3 * side * n_edges`` rows fill ``side ** 3`` cells."""
+    return max(FEWEST_BUCKETS, math.isqrt(max(3 * n_edges - 1, 0) // edges_per_cell) + 1)
+
+
+def _dealt(
+    oriented: DataFrame, by: list[str], side: int, role: str, first: str, second: str
+) -> DataFrame:
+    """Edges with the cells that need them in a role, partitioned by cell."""
+
+    def bucket(vertex: str) -> Column:
+        return F.pmod(F.xxhash64(vertex), F.lit(side)).cast("int")
+
+    low, high, free = bucket("low"), bucket("high"), F.col("free")
+    i, j, k = {"uv": (low, high, free), "uw": (low, free, high), "vw": (free, low, high)}[role]
+    cell = ((i * side + j) * side + k).alias("cell")
+    rows = oriented.select(*by, "low", "high", F.explode(F.sequence(F.lit(0), F.lit(side - 1))).alias("free"))
+    names = [F.col("low").alias(first), F.col("high").alias(second)]
+    return rows.select(*by, cell, *names).repartition(*by, "cell")
+
+
 def triangle_counts(
-    edges: DataFrame, by: Sequence[str] = (), edges_per_salt: int = EDGES_PER_SALT
+    edges: DataFrame, by: Sequence[str] = (), edges_per_cell: int = EDGES_PER_CELL
 ) -> DataFrame:
     """``id, n_triangles`` of the vertices that lie on at least one triangle.
 
     ``by`` keeps separate graphs apart, for instance one per period.
     """
     by = list(by)
-    oriented = materialise(orient(undirected(edges, by), by))
-    onward = oriented.groupBy(*by, "low", "low_degree").agg(
-        F.collect_list("high").alias("onward")
-    )
-    copies = F.ceil(F.col("low_degree") / edges_per_salt).cast("int")
-    targets = onward.select(
-        *by,
-        F.col("low").alias("high"),
-        F.explode(F.sequence(F.lit(0), copies - 1)).alias("salt"),
-        F.col("onward").alias("high_onward"),
-    )
-    salts = F.ceil(F.col("high_degree") / edges_per_salt)
-    salt = F.pmod(F.xxhash64("low"), salts).cast("int").alias("salt")
+    oriented = materialise(orient(undirected(edges, by), by).select(*by, "low", "high"))
+    side = grid_side(oriented.count(), edges_per_cell)
+    of_u = _dealt(oriented, by, side, "uw", "u", "w").groupBy(*by, "cell", "u")
+    of_v = _dealt(oriented, by, side, "vw", "v", "w").groupBy(*by, "cell", "v")
     closed = (
-        oriented.select(*by, "low", "high", salt)
-        .join(targets, [*by, "high", "salt"])
-        .join(onward.drop("low_degree"), [*by, "low"])
-        .select(*by, "low", "high", F.array_intersect("onward", "high_onward").alias("third"))
+        _dealt(oriented, by, side, "uv", "u", "v")
+        .join(of_u.agg(F.collect_list("w").alias("from_u")), [*by, "cell", "u"])
+        .join(of_v.agg(F.collect_list("w").alias("from_v")), [*by, "cell", "v"])
+        .select(*by, "u", "v", F.array_intersect("from_u", "from_v").alias("third"))
         .where(F.size("third") > 0)
     )
 
@@ -88,7 +106,7 @@ def triangle_counts(
         return F.struct(vertex.alias("id"), n.alias("n"))
 
     found = F.size("third")
-    ends = F.array(corner(F.col("low"), found), corner(F.col("high"), found))
+    ends = F.array(corner(F.col("u"), found), corner(F.col("v"), found))
     thirds = F.transform("third", lambda vertex: corner(vertex, F.lit(1)))
     corners = closed.select(*by, F.inline(F.concat(ends, thirds)))
     return corners.groupBy(*by, "id").agg(F.sum("n").alias("n_triangles"))
@@ -98,8 +116,8 @@ def with_triangles(
     vertices: DataFrame,
     edges: DataFrame,
     by: Sequence[str] = (),
-    edges_per_salt: int = EDGES_PER_SALT,
+    edges_per_cell: int = EDGES_PER_CELL,
 ) -> DataFrame:
     """Vertices (any frame with ``id``) with their triangle count, 0 if none."""
-    counted = triangle_counts(edges, by, edges_per_salt)
+    counted = triangle_counts(edges, by, edges_per_cell)
     return vertices.join(counted, [*by, "id"], "left").na.fill(0, ["n_triangles"])

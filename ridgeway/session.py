@@ -13,6 +13,8 @@ SQL_SETTINGS = {
     # ones and turns a join into a broadcast join once a side is known small.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A join may run on a partitioning by some of its keys, as the triangle grid's does.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Size checks behind every broadcast this library lets Spark choose: a
     # cohort of a few million 13-digit numbers passes, a fact table never does.
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),

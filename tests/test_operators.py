@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -108,12 +109,29 @@ def test_triangles_with_busy_vertices_equal_brute_force(spark):
     edges += [(chooser.randrange(40), chooser.randrange(40)) for _ in range(90)]
     frame = edge_frame(spark, edges, "src int, dst int")
     expected = triangles_by_hand(edges)
-    for salt in (1, 5, 12, 10**6):
-        counted = T.with_triangles(G.vertices_of(frame), frame, edges_per_salt=salt)
+    for rows_per_cell in (10, 40, 10**6):
+        counted = T.with_triangles(G.vertices_of(frame), frame, edges_per_cell=rows_per_cell)
         assert {r["id"]: r["n_triangles"] for r in counted.collect()} == expected
     assert sum(expected.values()) % 3 == 0
 
 
+def test_grid_side_grows_with_the_root_of_the_edges():
+    assert [T.grid_side(n, 100) for n in (0, 1, 33, 133, 134, 10**4)] == [2, 2, 2, 2, 3, 18]
+
+
+def test_no_neighbour_list_is_shuffled(spark):
+    edges = [(0, v) for v in range(1, 40)] + [(a, b) for a in range(50, 60) for b in range(a)]
+    counted = T.triangle_counts(edge_frame(spark, edges, "src int, dst int"), edges_per_cell=50)
+    counted.collect()
+    text = counted._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" in text
+    # what an exchange takes stands in the lines below it, up to the next exchange
+    for part in re.split(r"Exchange hashpartitioning", text)[1:]:
+        below = re.split(r"(?:Exchange|AQEShuffleRead|ShuffleQueryStage)", part.split("\n", 1)[1])[0]
+        first = below.strip().split("\n")[0]
+        assert "from_u" not in first and "from_v" not in first, first
+
+
 def test_separate_graphs_stay_apart(spark, rows):
     frame = spark.createDataFrame(
         [(1, "a", "b"), (1, "b", "c"), (1, "c", "a"), (2, "a", "b"), (2, "b", "c"), (3, "c", "a")],

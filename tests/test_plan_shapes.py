@@ -55,7 +55,7 @@ def test_two_sided_reshape_scans_each_source_once(spark):
 
 def test_profile_reads_its_input_once(spark):
     lines = S.read(spark, SMALL, "lineitem").repartition(4)
-    described = profile(lines, ["l_suppkey"], ["l_tax", "l_discount"], piece_partitions=1)
+    described = profile(lines, ["l_suppkey"], ["l_tax", "l_discount"], most_listed=0)
     described.collect()
     plan = described._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]

@@ -72,7 +72,7 @@ def test_profile_is_exact_however_groups_are_split(spark, pieces):
     data = skewed()
     frame = spread(spark, data, SCHEMA)
     result = profile(
-        frame, ["k", "side"], ["x", "y"], {"n_x": "x", "n_y": "y"}, piece_partitions=pieces
+        frame, ["k", "side"], ["x", "y"], {"n_x": "x", "n_y": "y"}, most_listed=pieces
     ).cache()
     check(result, by_hand(data, 2, (0, 1)), "x", ["k", "side"])
     check(result, by_hand(data, 3, (0, 1)), "y", ["k", "side"])
@@ -89,7 +89,7 @@ def test_known_values_and_single_row_group(spark):
 
 def test_group_of_nulls_and_equal_values_in_many_pieces(spark):
     data = [("a", 3.0)] * 20 + [("b", None)] * 20
-    frame = profile(spread(spark, data, "k string, x double"), ["k"], ["x"], piece_partitions=1)
+    frame = profile(spread(spark, data, "k string, x double"), ["k"], ["x"], most_listed=0)
     got = {r["k"]: r for r in frame.collect()}
     assert got["a"]["x_p0"] == got["a"]["x_p100"] == 3.0 and got["a"]["x_std"] == 0.0
     assert got["b"]["n_x"] == 0 and got["b"]["x_p50"] is None
@@ -105,7 +105,7 @@ def test_group_of_nulls_and_equal_values_in_many_pieces(spark):
 )
 def test_pieces_agree_with_sorting(spark, values):
     data = [("k", v) for v in values]
-    frame = profile(spread(spark, data, "k string, x double"), ["k"], ["x"], piece_partitions=1)
+    frame = profile(spread(spark, data, "k string, x double"), ["k"], ["x"], most_listed=0)
     row = frame.first()
     points = [row[f"x_{name}"] for name in POINTS]
     assert points == sorted(points)
@@ -118,7 +118,7 @@ def test_sums_and_decimal_and_integer_metrics(spark):
         F.lit("k").alias("k"), F.col("id").alias("n"), F.col("id").cast("decimal(30,0)").alias("d")
     )
     for pieces in (1, 100):
-        row = profile(frame, ["k"], ["n", "d"], sums=True, piece_partitions=pieces).first()
+        row = profile(frame, ["k"], ["n", "d"], sums=True, most_listed=pieces).first()
         assert row["n_sum"] == 5050 and row["n_p50"] == 50.5
         assert int(row["d_sum"]) == 5050 and row["d_p25"] == 25.75 and row["d_p100"] == 100.0
 
@@ -136,7 +136,7 @@ def test_values_that_are_not_finite(spark, pieces):
     inf, nan = float("inf"), float("nan")
     data = [("a", v) for v in (1.0, 2.0, inf, inf, inf)] + [("b", v) for v in (-inf, -inf, 0.0, nan)]
     frame = spread(spark, data, "k string, x double")
-    got = {r["k"]: r for r in profile(frame, ["k"], ["x"], piece_partitions=pieces).collect()}
+    got = {r["k"]: r for r in profile(frame, ["k"], ["x"], most_listed=pieces).collect()}
     assert [got["a"][f"x_{p}"] for p in POINTS] == [1.0, 2.0, inf, inf, inf]
     b = got["b"]
     assert b["x_p0"] == b["x_p25"] == -inf and b["x_p50"] == -inf and str(b["x_p100"]) == "nan"
@@ -146,7 +146,7 @@ def test_building_the_profile_starts_no_job(spark):
     frame = spread(spark, skewed(300), SCHEMA)
     spark.sparkContext.setJobGroup("lazy", "building a profile")
     try:
-        profile(frame, ["k"], ["x", "y"], piece_partitions=1)
+        profile(frame, ["k"], ["x", "y"], most_listed=0)
         started = spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
@@ -157,7 +157,7 @@ def test_values_over_hundreds_of_magnitudes(spark):
     values = [10.0 ** (i / 4) for i in range(-400, 400)]
     data = [("k", v) for v in values]
     frame = spread(spark, data, "k string, x double")
-    row = profile(frame, ["k"], ["x"], piece_partitions=1).first()
+    row = profile(frame, ["k"], ["x"], most_listed=0).first()
     for name, q in POINTS.items():
         assert row[f"x_{name}"] == pytest.approx(percentile(values, q), rel=1e-9)
 
