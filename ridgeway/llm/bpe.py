@@ -96,6 +96,8 @@ class ByteBPE:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.size = max(self.tokens) + 1
+        if self.size > 1 << ID_BITS:
+            raise ValueError(f"ranks must be below {1 << ID_BITS}")
         self.split_any = regex.compile(pattern).findall
         self.split_ascii = re.compile(ascii_pattern, re.A).findall if ascii_pattern else None
         self.cache: dict[str, bytes] = {}
@@ -151,10 +153,11 @@ class ByteBPE:
             if self.rising[rank]:
                 at = at[_left_of_overlaps(at, following[at])]
             else:
-                _, first = np.unique(np.searchsorted(ends, at, "right"), return_index=True)
-                rest = np.delete(at, first)
+                apart = np.flatnonzero(_left_of_overlaps(at, following[at]))
+                apart = apart[self._until_lower(rank, at[apart], token, following, before, ends)]
+                rest = np.delete(at, apart)
                 queue.push(np.full(len(rest), rank), rest)
-                at = at[first]
+                at = at[apart]
             gone = following[at]
             after = following[gone]
             token[at], token[gone] = rank, -1
@@ -173,6 +176,27 @@ class ByteBPE:
         cuts = np.concatenate([[0], np.cumsum(alive)[ends - 1] * 4]).tolist()
         return [packed[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
+    def _until_lower(self, rank, at, token, following, before, ends) -> np.ndarray:
+        """Which of some sorted pairs that do not overlap merge now: per match, those up
+        to the first whose merging makes a pair of a lower rank, which comes next.
+
+        At its turn a pair has the merged token of the pair before it to its left, where
+        the two touch, and unmerged tokens to its right.
+        """
+        gone = following[at]
+        left, right = token[before[at]], token[following[gone]]
+        left[1:] = np.where(following[gone[:-1]] == at[1:], rank, left[1:])
+        merged = np.full(len(at), rank)
+        ranks = [self._rank(left, merged), self._rank(merged, right)]
+        lower = np.zeros(len(at), bool)
+        for made in ranks:
+            lower |= (made >= 0) & (made < rank)
+        match = np.searchsorted(ends, at, "right")
+        seen = np.cumsum(lower) - lower
+        first = np.flatnonzero(np.diff(match, prepend=-1))
+        sizes = np.diff(np.append(first, len(at)))
+        return seen == np.repeat(seen[first], sizes)
+
     def split(self, text: str) -> list[str]:
         if self.split_ascii and text.isascii():
             return self.split_ascii(text)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ridgeway.operators.lineage import materialise
+from ridgeway.operators.lineage import materialise, shared_base
 
 SHIPPED = "ridgeway-package.zip"
 
@@ -38,15 +38,8 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below ``spark.checkpoint.dir`` that driver and executors share.
-
-    Where the setting is missing, as in tests, the folder set by
-    ``setCheckpointDir`` serves, and failing that a local temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    base = base or spark.sparkContext.getCheckpointDir()
-    base = base or "file://" + tempfile.mkdtemp(prefix="ridgeway-shared-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    """A new folder below the one that driver and executors share."""
+    return f"{shared_base(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
 def packed(df: DataFrame, **computed: Column) -> DataFrame:

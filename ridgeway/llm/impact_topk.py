@@ -1,16 +1,22 @@
 """Exact top-k inner products from an impact-ordered index, score at a time.
 
 Vectors are dealt to blocks of bounded size, queries too, and every query block
-meets every index block once; a task works on one such pair. Inside a block, each
-component has one posting segment per quantised value, with the members whose
-component has that value. For a query a segment's impact is what it adds to a score,
-counted from the least that its component can add. Segments are taken in strata of
-descending impact. What a member can reach is the sum, over the components, of its
-segment's impact where that was taken, and of the bound of the current stratum where it
-was not. The members that could reach most are scored exactly, which raises the bar,
-the k-th best exact score so far. A member whose bound is below the bar is out; that is
-the only reason to leave one out. When few are left, or all segments have been
-taken, the possible members are scored exactly.
+meets every index block once; a task works on one such pair. Inside a block every
+component has posting segments, one per quantised value, with the members whose
+component has that value, in the order of the values. For a query a segment's impact is
+what it adds to a score, counted from the least that its component can add; so a
+component's segments by descending impact are its postings read from one end.
+
+Segments are processed in strata of descending impact over all components: the members
+of a segment get its impact in an accumulator, and every posting is read at most once.
+What a member can still reach is what it has, plus, for every component whose segment
+was not processed, the bound of the current stratum. The members that could reach most
+are scored exactly, which raises the bar, the k-th best exact score so far. A member that
+cannot reach the bar is out; that is the only reason to leave one out. When few are left,
+or all segments have been processed, the possible members are scored exactly.
+
+Nothing is sized by the values themselves. Where products could pass 64 bits a block
+computes with Python's whole numbers.
 """
 
 from __future__ import annotations
@@ -28,8 +34,10 @@ from ridgeway.operators.lineage import materialise
 SCALE = 256
 BLOCK_ROWS = 8192
 QUERY_ROWS = 2048
-#: A stratum's least impact is this part of the one before; few members, per result.
-STRATUM, FIRST, FEW = 16, 64, 8
+#: The first stratum goes down to this part of the greatest impact, each further one to
+#: this part of the one before; few members, per result.
+FIRST, STRATUM, FEW = 64, 16, 8
+LARGEST = (1 << 63) - 1
 
 
 def quantised(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
@@ -56,6 +64,7 @@ def top_k(
     ``vectors`` as from :func:`quantised`; ``is_query`` chooses the queries among them.
     Candidates are all rows but the query's own; ties go to the smaller ``vec_id``;
     fewer than ``k`` candidates are all returned. Empty input gives an empty result.
+    Scores beyond 64 bits are given as the nearest 64-bit number.
     """
     ship_package(vectors.sparkSession)
     vectors = materialise(vectors)
@@ -95,43 +104,63 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
 
 
 class BlockIndex:
-    """Posting segments of one block: for every component the segment (the value above
-    the component's least) that each member is in."""
+    """Posting segments of one block: per component the members by ascending value, and
+    those values."""
 
     def __init__(self, x: np.ndarray):
         self.x = x
         self.low, self.high = x.min(axis=0), x.max(axis=0)
-        self.segment = np.ascontiguousarray((x - self.low).T)
-        self.levels = [np.arange(n + 1) for n in (self.high - self.low).tolist()]
+        self.members = np.ascontiguousarray(np.argsort(x, axis=0, kind="stable").T)
+        self.values = np.ascontiguousarray(np.take_along_axis(x, self.members.T, axis=0).T)
+
+    def _beyond(self, d: int, weight: int, impact: int) -> int:
+        """How many postings of a component, from its weighty end, have at least an
+        impact (above 0)."""
+        step = -(-impact // abs(weight))
+        values = self.values[d]
+        if weight > 0:
+            return len(values) - int(np.searchsorted(values, int(self.low[d]) + step, "left"))
+        return int(np.searchsorted(values, int(self.high[d]) - step, "right"))
 
     def search(self, q: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
         """Members that can be among the ``k`` best for ``q`` and their exact scores;
         ``own`` is left out if it is not negative."""
         n = len(self.x)
-        members, codes = np.arange(n), self.segment
+        members = np.arange(n)
         if own >= 0:
             members = np.delete(members, own)
         least = int(np.minimum(q * self.low, q * self.high).sum())
-        most = np.abs(q) * (self.high - self.low)
-        order = np.argsort(-most, kind="stable").tolist()
-        stratum = int(most.max(initial=0)) // FIRST
+        most = [abs(w) * (b - a) for w, a, b in zip(q.tolist(), self.low.tolist(), self.high.tolist(), strict=True)]
+        live = sorted((d for d, m in enumerate(most) if m), key=lambda d: -most[d])
+        gained, taken = np.zeros(n, self.x.dtype), np.zeros(n, self.x.dtype)
+        done = [0] * len(most)
+        stratum = max(max(most, default=0) // FIRST, 1)
         while len(members) > FEW * k:
-            below = max(stratum - 1, 0)
-            reach = np.full(n, least + int(np.minimum(most, below).sum()))
-            for d in order:
+            for d in live:
                 if most[d] < stratum:
-                    break  # no segment of this component has been taken yet
-                impact = q[d] * self.levels[d]
-                impact -= impact.min()
-                reach += np.maximum(impact - min(int(most[d]), below), 0).take(codes[d])
-            reach = reach[members] if codes is self.segment else reach
-            best = np.argpartition(reach, len(reach) - k)[len(reach) - k :]
-            bar = (self.x[members[best]] @ q).min()
-            members = members[reach >= bar]
-            if stratum <= 1:
+                    break
+                weight = int(q[d])
+                a, b = done[d], self._beyond(d, weight, stratum)
+                part = slice(n - b, n - a) if weight > 0 else slice(a, b)
+                own_impact = (self.values[d][part] - (self.low[d] if weight > 0 else self.high[d])) * weight
+                at = self.members[d][part]
+                gained[at] += own_impact
+                taken[at] += 1
+                done[d] = b
+            below = stratum - 1
+            bound = least + sum(min(m, below) for m in most)
+            reach = gained[members] - taken[members] * below + bound
+            if reach.dtype == object:
+                best = np.argsort(reach)[len(reach) - k :]
+            else:
+                best = np.argpartition(reach, len(reach) - k)[len(reach) - k :]
+            # scores are compared as they are given: within 64 bits
+            bar = min(int((self.x[members[best]] @ q).min()), LARGEST)
+            if bar > -LARGEST - 1:
+                members = members[reach >= bar]
+            if stratum == 1:
                 break
-            stratum //= STRATUM
-            codes, n = self.segment[:, members], len(members)
+            stratum = max(stratum // STRATUM, 1)
         return members, self.x[members] @ q
 
 
@@ -143,13 +172,20 @@ def search_block(block: pd.DataFrame, k: int, width: int) -> pd.DataFrame:
         return empty
     ids = block["vec_id"].to_numpy("int64")
     x, q = _matrix(block["v"][~asked], width), _matrix(block["v"][asked], width)
+    largest = [max(abs(int(m.max(initial=0))), abs(int(m.min(initial=0)))) for m in (x, q)]
+    if 4 * (width + 1) * largest[0] * largest[1] > LARGEST:
+        x, q = x.astype(object), q.astype(object)
     members, asked_ids = ids[~asked], ids[asked]
     index = BlockIndex(x)
     place = {m: i for i, m in enumerate(members.tolist())}
     out = []
     for query, vector in zip(asked_ids.tolist(), q, strict=True):
         possible, scores = index.search(vector, k, place.get(query, -1))
-        best = np.lexsort((members[possible], -scores))[:k]
-        out.append((np.full(len(best), query), members[possible][best], scores[best]))
+        if scores.dtype == object:
+            scores = np.array([max(-LARGEST - 1, min(s, LARGEST)) for s in scores.tolist()], object)
+            best = sorted(range(len(scores)), key=lambda i: (-scores[i], members[possible[i]]))[:k]
+        else:
+            best = np.lexsort((members[possible], -scores))[:k]
+        out.append((np.full(len(best), query), members[possible][best], scores[best].astype("int64")))
     columns = [np.concatenate(c) for c in zip(*out, strict=True)]
     return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))

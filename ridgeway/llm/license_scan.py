@@ -1,8 +1,9 @@
 """License notices in texts by ordered signature rules.
 
 A rule is a regular expression over the lower-cased words of a text (joined by single
-blanks), with a label, a priority, a weight and keywords. Hundreds of rules come from
-a list of licenses and the forms in which a notice names one. A text is searched for all
+blanks), with a label, a priority, a weight and keywords. Rules are sentences of license
+texts and file headers, written one by one, and forms in which a notice names one of a
+list of licenses. A text is searched for all
 keywords at once by an Aho-Corasick automaton; a rule runs if a keyword of its form
 and one of its license occur. Where detections overlap, the one of higher priority stays, and a
 detection that lies within a kept one is suppressed.
@@ -46,9 +47,9 @@ FAMILIES = (
     ("bsd-3-clause", "(?:new|modified|revised|3 clause|three clause) bsd|bsd (?:3|three) clause", "bsd", "bsd 3 clause"),
     ("bsd-4-clause", "(?:original|4 clause|four clause) bsd|bsd (?:4|four) clause", "bsd", "bsd 4 clause"),
     ("0bsd", "(?:zero clause|0) bsd|0bsd", "bsd", "0bsd"),
-    ("gpl-1.0", "(?:gnu )?(?:gpl|general public license)(?: version| v)? ?v?1(?: 0)?", "gp?l|general", "gpl 1 0(?: only| or later)?"),
-    ("gpl-2.0", "(?:gnu )?(?:gpl|general public license)(?: version| v)? ?v?2(?: 0)?", "gp?l|general", "gpl 2 0(?: only| or later)?"),
-    ("gpl-3.0", "(?:gnu )?(?:gpl|general public license)(?: version| v)? ?v?3(?: 0)?", "gp?l|general", "gpl 3 0(?: only| or later)?"),
+    ("gpl-1.0", "(?:gnu )?(?:gpl|general public license)(?: version| v)? ?v?1(?: 0)?", "gpl|general", "gpl 1 0(?: only| or later)?"),
+    ("gpl-2.0", "(?:gnu )?(?:gpl|general public license)(?: version| v)? ?v?2(?: 0)?", "gpl|general", "gpl 2 0(?: only| or later)?"),
+    ("gpl-3.0", "(?:gnu )?(?:gpl|general public license)(?: version| v)? ?v?3(?: 0)?", "gpl|general", "gpl 3 0(?: only| or later)?"),
     ("lgpl-2.0", "(?:gnu )?(?:lgpl|library general public license)(?: version| v)? ?v?2(?: 0)?", "lgpl|library", "lgpl 2 0(?: only| or later)?"),
     ("lgpl-2.1", "(?:gnu )?(?:lgpl|lesser general public license)(?: version| v)? ?v?2 1", "lgpl|lesser", "lgpl 2 1(?: only| or later)?"),
     ("lgpl-3.0", "(?:gnu )?(?:lgpl|lesser general public license)(?: version| v)? ?v?3(?: 0)?", "lgpl|lesser", "lgpl 3 0(?: only| or later)?"),
@@ -112,6 +113,102 @@ NOTICES = (
 )
 
 
+# Sentences of license texts and file headers: label, expression, keyword, priority,
+# weight. Each is written for one text; the tests have a passage for every one.
+SENTENCES = (
+    ("mit", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "portions", 84, 1.0),
+    ("mit", r"deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense", "sublicense", 84, 1.0),
+    ("mit", r"in no event shall the authors or copyright holders be liable for any claim damages or other liability", "liable", 83, 0.9),
+    ("mit-0", r"deal in the software without restriction .{0,160}permit persons to whom the software is furnished to do so the software is provided as is", "furnished", 86, 1.0),
+    ("x11", r"the name of the x consortium shall not be used in advertising", "consortium", 84, 1.0),
+    ("isc", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice", "hereby", 85, 1.0),
+    ("0bsd", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted(?! provided)", "hereby", 84, 1.0),
+    ("hpnd", r"permission to use copy modify and distribute this software and its documentation for any purpose", "documentation", 83, 0.9),
+    ("bsd-2-clause", r"redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation", "redistributions", 62, 0.8),
+    ("bsd-3-clause", r"neither the name of .{1,80}? nor the names of its contributors may be used to endorse or promote products", "endorse", 88, 1.0),
+    ("bsd-3-clause", r"the names? of the (?:authors?|copyright holders?) may not be used to endorse or promote products", "endorse", 87, 1.0),
+    ("bsd-4-clause", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment", "advertising", 89, 1.0),
+    ("bsd-3-clause-clear", r"no express or implied licenses to any party s patent rights are granted by this license", "patent", 88, 1.0),
+    ("apache-1.1", r"the end user documentation included with the redistribution if any must include the following acknowledg?e?ment", "redistribution", 85, 1.0),
+    ("apache-2.0", r"you may not use this file except in compliance with the license", "compliance", 84, 0.95),
+    ("apache-2.0", r"you may obtain a copy of the license at https? www apache org licenses license 2 0", "apache", 88, 1.0),
+    ("apache-2.0", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", "applicable", 84, 0.95),
+    ("apache-2.0", r"grant of patent license subject to the terms and conditions of this license each contributor hereby grants", "patent", 85, 1.0),
+    ("mpl-1.1", r"the contents of this file are subject to the mozilla public license version 1 1", "mozilla", 88, 1.0),
+    ("mpl-2.0", r"this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla", 88, 1.0),
+    ("mpl-2.0", r"if a copy of the mpl was not distributed with this file you can obtain one at", "mpl", 87, 1.0),
+    ("epl-1.0", r"the accompanying program is provided under the terms of this eclipse public license", "eclipse", 84, 0.95),
+    ("epl-2.0", r"this program and the accompanying materials are made available under the terms of the eclipse public license (?:v )?2 0", "eclipse", 88, 1.0),
+    ("epl-1.0", r"this program and the accompanying materials are made available under the terms of the eclipse public license v ?1 0", "eclipse", 88, 1.0),
+    ("cddl-1.0", r"the contents of this file are subject to the terms of the common development and distribution license", "development", 88, 1.0),
+    ("cpl-1.0", r"the accompanying program is provided under the terms of this common public license", "common", 88, 1.0),
+    ("lgpl", r"this library is distributed in the hope that it will be useful", "library", 70, 0.9),
+    ("gpl", r"this program is distributed in the hope that it will be useful", "hope", 70, 0.9),
+    ("gpl", r"you should have received a copy of the gnu general public license along with this program", "gnu", 75, 0.95),
+    ("lgpl", r"you should have received a copy of the gnu (?:lesser|library) general public license along with this library", "gnu", 76, 0.95),
+    ("agpl", r"you should have received a copy of the gnu affero general public license along with this program", "affero", 76, 0.95),
+    ("gpl-3.0", r"the gnu general public license is a free copyleft license for software and other kinds of works", "copyleft", 85, 1.0),
+    ("agpl-3.0", r"specifically designed to ensure cooperation with the community in the case of network server software", "cooperation", 85, 1.0),
+    ("gpl-2.0", r"activities other than copying distribution and modification are not covered by this license they are outside its scope", "modification", 85, 1.0),
+    ("lgpl-2.1", r"a work that uses the library in isolation is not a derivative work of the library", "derivative", 85, 1.0),
+    ("gfdl", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", "documentation", 88, 1.0),
+    ("zlib", r"this notice may not be removed or altered from any source distribution", "altered", 84, 1.0),
+    ("zlib", r"altered source versions must be plainly marked as such and must not be misrepresented", "misrepresented", 84, 1.0),
+    ("bsl-1.0", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation", "organization", 88, 1.0),
+    ("bsl-1.0", r"distributed under the boost software license version 1 0 see accompanying file", "boost", 88, 1.0),
+    ("unlicense", r"this is free and unencumbered software released into the public domain", "unencumbered", 88, 1.0),
+    ("wtfpl", r"everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed", "verbatim", 88, 1.0),
+    ("gpl", r"everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed", "verbatim", 74, 0.9),
+    ("cc0-1.0", r"the person who associated a work with this deed has dedicated the work to the public domain", "deed", 88, 1.0),
+    ("cc0-1.0", r"to the extent possible under law .{1,80}? has waived all copyright and related or neighboring rights", "waived", 88, 1.0),
+    ("cc-by-4.0", r"this work is licensed under (?:a |the )?creative commons attribution 4 0 international", "creative", 88, 1.0),
+    ("cc-by-sa-4.0", r"this work is licensed under (?:a |the )?creative commons attribution sharealike 4 0 international", "creative", 88, 1.0),
+    ("cc-by-sa-3.0", r"this work is licensed under (?:a |the )?creative commons attribution sharealike 3 0", "creative", 88, 1.0),
+    ("cc-by-nc-4.0", r"this work is licensed under (?:a |the )?creative commons attribution noncommercial 4 0 international", "creative", 88, 1.0),
+    ("cc-by-nd-4.0", r"this work is licensed under (?:a |the )?creative commons attribution noderiv(?:ative)?s 4 0 international", "creative", 88, 1.0),
+    ("cc-by-nc-sa-4.0", r"this work is licensed under (?:a |the )?creative commons attribution noncommercial sharealike 4 0 international", "creative", 88, 1.0),
+    ("artistic-1.0", r"the intent of this document is to state the conditions under which a package may be copied", "intent", 86, 1.0),
+    ("artistic-2.0", r"this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed", "establishes", 88, 1.0),
+    ("perl", r"(?:it|this program|this library) under the same terms as perl itself", "perl", 85, 1.0),
+    ("ofl-1.1", r"this font software is licensed under the sil open font license version 1 1", "font", 88, 1.0),
+    ("ofl-1.1", r"neither the font software nor any of its individual components in original or modified versions may be sold by itself", "font", 88, 1.0),
+    ("psf-2.0", r"this license agreement is between the python software foundation psf and the individual or organization", "python", 88, 1.0),
+    ("php-3.01", r"this product includes php software freely available from", "php", 88, 1.0),
+    ("openssl", r"this product includes software developed by the openssl project for use in the openssl toolkit", "openssl", 88, 1.0),
+    ("postgresql", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted", "agreement", 88, 1.0),
+    ("ncsa", r"redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimers in the documentation", "disclaimers", 86, 1.0),
+    ("odbl-1.0", r"this .{1,60}? is made available under the open database license", "database", 88, 1.0),
+    ("ms-pl", r"this license governs use of the accompanying software if you use the software you accept this license", "governs", 84, 0.9),
+    ("eupl-1.2", r"licensed under the eupl version 1 2 or as soon they will be approved by the european commission", "eupl", 88, 1.0),
+    ("sspl-1.0", r"offering the program as a service .{0,40}you must make the service source code available", "offering", 86, 1.0),
+    ("busl-1.1", r"the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use", "licensor", 88, 1.0),
+    ("elastic-2.0", r"you may not provide the software to third parties as a hosted or managed service", "hosted", 88, 1.0),
+    ("commons-clause", r"the license does not include the right to sell the software", "sell", 84, 0.95),
+    ("json", r"the software shall be used for good not evil", "evil", 88, 1.0),
+    ("beerware", r"if we meet some day and you think this stuff is worth it you can buy me a beer in return", "beer", 88, 1.0),
+    ("llama", r"llama (?:2|3|3 1) community license agreement", "llama", 84, 0.95),
+    ("openrail", r"(?:creativeml )?open ?rail(?: m| s| d)? licen[sc]e", "rail", 84, 0.9),
+    ("proprietary", r"no part of this (?:publication|document|work|book) may be reproduced(?: stored| distributed| or transmitted)*", "reproduced", 58, 0.85),
+    ("proprietary", r"this software is the confidential and proprietary information of", "confidential", 66, 0.9),
+    ("proprietary", r"by (?:installing|downloading|using|accessing) (?:the |this )?software you agree to be bound by", "bound", 58, 0.8),
+)
+# The family of the GNU licenses: label, expression of the name, keyword, versions.
+GNU = (
+    ("gpl", "general public license", "general", ("1", "2", "3")),
+    ("lgpl", "(?:lesser|library) general public license", "general", ("2", "2 1", "3")),
+    ("agpl", "affero general public license", "affero", ("1", "3")),
+)
+# Forms of their headers: suffix of the label, expression, priority.
+GNU_FORMS = (
+    ("-or-later", r"(?:gnu )?{n} as published by the free software foundation (?:either )?version {v}(?: 0)?(?: of the license)? or (?:at your option )?any later version", 92),
+    ("-only", r"(?:gnu )?{n} as published by the free software foundation version {v}(?: 0)?(?: of the license)? (?:only|exclusively)", 92),
+    ("", r"(?:gnu )?{n} version {v}(?: 0)? as published by the free software foundation", 91),
+    ("", r"(?:gnu )?{n} as published by the free software foundation version {v}(?: 0)?(?: of the license)?", 90),
+    ("-or-later", r"(?:gnu )?{n}(?: version| v)? {v}(?: 0)? or (?:at your option )?(?:any )?later(?: version)?", 89),
+    ("", r"version {v}(?: 0)? of the (?:gnu )?{n}", 86),
+)
+
+
 # Words that some base phrase contains.
 BASE_GATE = frozenset({"cc", "public", "rights"})
 
@@ -126,13 +223,10 @@ class Rule:
     weight: float
 
 
-def _literals(expression: str) -> tuple[str, ...]:
-    """Plain keywords of an alternation such as ``gp?l|general``."""
-    plain = []
-    for part in expression.split("|"):
-        at = part.find("?")
-        plain += [part] if at < 0 else [part[: at - 1] + part[at + 1 :], part.replace("?", "")]
-    return tuple(plain)
+def _rule(label: str, text: str, forms: str, names: str, priority: int, weight: float) -> Rule:
+    """Words of the text are separated by single blanks; nothing else is a border."""
+    pattern = re.compile(rf"(?<![^ ])(?:{text})(?![^ ])")
+    return Rule(label, pattern, frozenset(forms.split("|")), frozenset(names.split("|")), priority, weight)
 
 
 def rules() -> list[Rule]:
@@ -141,15 +235,16 @@ def rules() -> list[Rule]:
     for label, name, keyword, identifier in FAMILIES:
         for form, expression, priority, weight in FORMS:
             text = expression.format(n=name, i=identifier)
-            form_words = frozenset(form.split("|"))
             # an identifier may be shorter than the name: its form word is telling enough
-            words = form_words if form == "spdx" else frozenset(_literals(keyword))
-            pattern = re.compile(rf"(?<!\S){text}(?!\S)")
-            made.append(Rule(label, pattern, form_words, words, priority, weight))
-    for label, text, keyword, priority, weight in NOTICES:
-        words = frozenset(keyword.split("|"))
-        pattern = re.compile(rf"(?<!\S){text}(?!\S)")
-        made.append(Rule(label, pattern, words, words, priority, weight))
+            made.append(_rule(label, text, form, form if form == "spdx" else keyword, priority, weight))
+    for label, text, keyword, priority, weight in (*NOTICES, *SENTENCES):
+        made.append(_rule(label, text, keyword, keyword, priority, weight))
+    for label, name, keyword, versions in GNU:
+        for version in versions:
+            shown = version.replace(" ", ".") if " " in version else f"{version}.0"
+            for suffix, form, priority in GNU_FORMS:
+                text = form.format(n=name, v=version)
+                made.append(_rule(f"{label}-{shown}{suffix}", text, keyword, keyword, priority, 1.0))
     return sorted(made, key=lambda r: -r.priority)
 
 

@@ -334,3 +334,53 @@ def test_pipeline_stages(spark):
         before = after
     final = corpus_pipeline.STAGES[-1][1](spark, before, folder)
     assert final.count() == before.count() and final.where("n_tokens IS NULL").count() == 0
+
+
+def test_search_of_very_large_components(spark):
+    """Arrays are sized by members, not by values; what passes 64 bits is clipped."""
+    rows = [(i, [float(x) for x in (i * 1e9, -3.0 * i, 1e9 if i % 2 else 0.5)]) for i in range(200)]
+    rows += [(200, [1e300, 0.0, 0.0]), (201, [-1e300, 0.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    vectors = impact_topk.quantised(frame)
+    exact = {r["vec_id"]: r["v"] for r in vectors.collect()}
+    got = rows_of(impact_topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5), "query_id", "rank", "vec_id", "score")
+    clip = 2**63 - 1
+    for query in range(0, 201, 50):
+        scores = [(-max(-clip - 1, min(clip, sum(a * b for a, b in zip(exact[query], v, strict=True)))), i)
+                  for i, v in exact.items() if i != query]
+        want = [(query, rank, i, -s) for rank, (s, i) in enumerate(sorted(scores)[:5], 1)]
+        assert [g for g in got if g[0] == query] == want
+
+
+@pytest.mark.parametrize("spread", [1, 40, 10**6])
+def test_posting_segments_are_exact(spread):
+    import numpy as np
+
+    draw = np.random.default_rng(spread)
+    x = (draw.standard_cauchy((300, 7)) * spread).astype("int64")
+    index = impact_topk.BlockIndex(x)
+    for query in range(0, 300, 17):
+        members, scores = index.search(x[query], 5, query)
+        found = members[np.lexsort((members, -scores))[:5]]
+        others = np.delete(np.arange(300), query)
+        full = (x @ x[query])[others]
+        assert found.tolist() == others[np.lexsort((others, -full))[:5]].tolist()
+
+
+def test_long_pre_tokens_of_common_syllables():
+    """Ranks whose merging can make a lower rank are merged by the bucket as well."""
+    import time
+
+    coder = bpe.codec(PATH, PATTERN)
+    library = tiktoken.Encoding("t", pat_str=PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
+    syllables = ["st", "th", "and", "an", "er", "in", "ion", "ing", "the", "re", "ou", "a", "e", "t", "tion"]
+    for seed in range(60):
+        draw = random.Random(seed)
+        pool = syllables if seed % 2 else "abcdeinrstéç"
+        text = "".join(draw.choice(pool) for _ in range(draw.randint(1, 3000)))
+        assert coder.encode(text) == library.encode_ordinary(text), seed
+    long = "".join(random.Random(7).choice(syllables) for _ in range(500_000))
+    started = time.time()
+    packed = coder.encode_packed([long])[0]
+    assert time.time() - started < 20
+    assert coder.decode_packed(packed) == long.encode() and coder.encode(long) == library.encode_ordinary(long)
