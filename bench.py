@@ -2,7 +2,9 @@
 
 Every query is written to Spark's ``noop`` sink, so the whole result is computed
 and nothing is collected. ``value`` is the sum of each query's best of three runs.
-``plain`` times the same results in their most direct form (harness/plain.py).
+``plain`` times the same results in their most direct form (harness/plain.py);
+With BENCH_SPREAD=1, ``spread`` times both forms of the wallet profile on 64 partitions
+that are not merged.
 """
 
 from __future__ import annotations
@@ -27,6 +29,11 @@ HEADLINE = (
     "telecom_sva", "peer_in_out_profile", "backfill_weekly", "segment_centroid",
 )
 RUNS = 3
+SPREAD_QUERY = "wallet_profile"
+SPREAD = {
+    "spark.sql.shuffle.partitions": "64",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
 # Untimed first: class loading and code generation would fall on whatever
 # happens to run first.
 WARM_UP = ("wallet_arpu", "graph_in_out_profile", "value_segments")
@@ -41,6 +48,18 @@ def timed(query, spark, sf_dir: str) -> float:
     return round(best, 3)
 
 
+def spread(spark, sf_dir: str) -> dict[str, float]:
+    before = {key: spark.conf.get(key) for key in SPREAD}
+    try:
+        for key, value in SPREAD.items():
+            spark.conf.set(key, value)
+        forms = {"library": registered()[SPREAD_QUERY], "plain": PLAIN[SPREAD_QUERY]}
+        return {name: timed(query, spark, sf_dir) for name, query in forms.items()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -61,6 +80,7 @@ def main() -> None:
         known[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {name: timed(known[name], spark, sf_dir) for name in wanted}
     plain = {name: timed(query, spark, sf_dir) for name, query in PLAIN.items() if name in wanted}
+    scattered = spread(spark, sf_dir) if os.environ.get("BENCH_SPREAD") == "1" else {}
     spark.stop()
     print(
         json.dumps(
@@ -70,6 +90,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "plain": plain,
+                "spread": scattered,
                 "sf": os.path.basename(sf_dir.rstrip("/")),
                 "cpus": int(cpus),
             }

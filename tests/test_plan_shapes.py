@@ -53,13 +53,18 @@ def test_two_sided_reshape_scans_each_source_once(spark):
     assert "Generate" in plan and "Union" not in plan
 
 
-def test_profile_reads_its_input_once(spark):
-    lines = S.read(spark, SMALL, "lineitem").repartition(4)
-    described = profile(lines, ["l_suppkey"], ["l_tax", "l_discount"], most_listed=0)
+def test_profile_reads_its_metrics_once_and_exchanges_them_once(spark):
+    lines = S.read(spark, SMALL, "lineitem")
+    described = profile(lines, ["l_suppkey"], ["l_tax", "l_discount"])
     described.collect()
     plan = described._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
-    assert final.count("FileScan") == 1 and "Reused" in final
+    read = re.findall(r"ReadSchema: struct<([^>]*)>", final)
+    # the search for outsized groups found none, so its joins are gone
+    assert len(read) == 1 and "l_tax" in read[0]
+    assert final.count("Exchange hashpartitioning") == 1 and "Join" not in final
+    keys_only = [c for c in re.findall(r"ReadSchema: struct<([^>]*)>", plan_of(described)) if "l_tax" not in c]
+    assert keys_only and all(c.startswith("l_suppkey") for c in keys_only)
 
 
 def test_large_cohort_is_not_broadcast(spark):
