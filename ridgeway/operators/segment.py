@@ -106,11 +106,12 @@ def split_by_mean(
     names the category of labels that are not split. Both belong to one set of
     centroids; a label in neither has no category.
 
-    The means are one small aggregate (labels x ``by`` rows) joined back, so the
-    rows of a label are never brought together in one task.
+    The means are one small aggregate (split labels x ``by`` rows) joined back, so the
+    rows of a label are never brought together in one task. Without ``by`` there are at
+    most as many of them as ``splits`` has labels, and they are broadcast.
     """
     keys = ["label", *by]
-    means = df.groupBy(*keys).agg(F.avg(value).alias("__mean"))
+    means = df.where(F.col("label").isin(*splits)).groupBy(*keys).agg(F.avg(value).alias("__mean"))
     joined = df.join(means, keys, "left") if by else df.join(F.broadcast(means), keys, "left")
     category = F.lit(None).cast("string")
     for label, name in whole.items():
