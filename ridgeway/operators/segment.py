@@ -108,11 +108,18 @@ def split_by_mean(
 
     The means are one small aggregate (split labels x ``by`` rows) joined back, so the
     rows of a label are never brought together in one task. Without ``by`` there are at
-    most as many of them as ``splits`` has labels, and they are broadcast.
+    most one more of them than ``splits`` has labels, and they are broadcast.
     """
-    keys = ["label", *by]
-    means = df.where(F.col("label").isin(*splits)).groupBy(*keys).agg(F.avg(value).alias("__mean"))
-    joined = df.join(means, keys, "left") if by else df.join(F.broadcast(means), keys, "left")
+    # Rows of other labels share a key that is never null. A condition on the label, also
+    # one that Spark infers from a key that may be null, is pushed below the features,
+    # where the optimiser derives a variant of it for every subset of them.
+    split = F.when(F.col("label").isin(*splits), F.col("label"))
+    keyed = df.withColumn("__split", F.coalesce(split, F.lit(min(splits, default=0) - 1)))
+    keys = ["__split", *by]
+    means = keyed.groupBy(*keys).agg(F.avg(value).alias("__mean"))
+    joined = keyed.join(means if by else F.broadcast(means), keys, "left")
+    first = ["label", *by]
+    joined = joined.select(*first, *[c for c in df.columns if c not in first], "__mean")
     category = F.lit(None).cast("string")
     for label, name in whole.items():
         category = F.when(F.col("label") == label, name).otherwise(category)
