@@ -70,7 +70,7 @@ def wallet_graph_indicators(
 ) -> DataFrame:
     """In/out amounts, degrees and triangles of every two-way subscriber."""
     summed, by = wallet_edges(tx, tag, periods)
-    edges = materialise(summed)
+    edges = materialise(summed.select(*by, "src", "dst", "total_transaction"))
     sides = in_out_profile(edges, "total_transaction", by)
     indicators = with_triangles(sides, edges, by)
     return restrict_to_cohort(indicators.withColumnRenamed("id", "msisdn"), cohort)
