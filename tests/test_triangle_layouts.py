@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import pytest
 
@@ -64,3 +65,22 @@ def test_the_layout_with_fewer_rows_is_chosen(spark, monkeypatch):
     clique = spark.createDataFrame([(a, b) for a in range(150) for b in range(a)], "src int, dst int")
     T.triangle_counts(clique)
     assert used == ["_by_signature", "_by_grid"]
+
+
+def test_lists_stay_in_their_task_in_a_session_with_default_settings(spark):
+    """Without ``requireAllClusterKeysForCoPartition=false``, which the grid needs."""
+    setting = "spark.sql.requireAllClusterKeysForCoPartition"
+    spark.conf.set(setting, "true")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counted = T.triangle_counts(ring(spark, 300))
+        assert {r["n_triangles"] for r in counted.collect()} == {3}
+        text = counted._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set(setting, "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
+    assert "collect_list" in text
+    for part in re.split(r"Exchange hashpartitioning", text)[1:]:
+        below = re.split(r"(?:Exchange|AQEShuffleRead|ShuffleQueryStage)", part.split("\n", 1)[1])[0]
+        first = below.strip().split("\n")[0]
+        assert "from_u" not in first and "from_v" not in first, first
